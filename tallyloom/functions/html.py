@@ -8,11 +8,12 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tallyloom.functions.names import col
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 

@@ -95,7 +95,7 @@ def complete(
     spark = df.sparkSession
     types = dict(df.dtypes)
     base = spark.range(1).select(
-        F.explode(F.array(*[F.lit(v) for v in axes[first]])).cast(types[first]).alias(first)
+        F.explode(F.array(*[F.lit(v).cast(types[first]) for v in axes[first]])).alias(first)
     )
     grid = expand_grid(base, {n: axes[n] for n in others}) if others else base
     grid = grid.select(*[col(n).cast(types[n]).alias(n) for n in names])

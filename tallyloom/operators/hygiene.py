@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.names import col, names_like
-from tallyloom.functions.values import not_in, null_if_in, strip
+from tallyloom.functions.values import not_in, null_if_in, recode, strip
 
 
 def clean_strings(
@@ -58,6 +58,4 @@ def nonzero(df: DataFrame, column: str) -> DataFrame:
 
 
 def recode_columns(df: DataFrame, mappings: Mapping[str, Mapping]) -> DataFrame:
-    from tallyloom.functions.values import recode
-
     return df.withColumns({c: recode(col(c), m) for c, m in mappings.items() if c in df.columns})

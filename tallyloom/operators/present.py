@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.names import col, cols
+from tallyloom.sources.tables import literal_table
 
 
 def level_rank(c: Column, levels: Sequence[str]) -> Column:
@@ -73,17 +74,8 @@ def with_band_rows(
 ) -> DataFrame:
     """Put a heading row before each block. ``position`` is 0 for headings, 1 for rows."""
     named = dict(blocks) if isinstance(blocks, Mapping) else {b: str(b) for b in blocks}
-    types = dict(df.dtypes)
-    spark = df.sparkSession
-    heads = spark.range(1).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(b).cast(types[block]).alias(block), F.lit(n).alias(label))
-                    for b, n in named.items()
-                ]
-            )
-        )
+    heads = literal_table(
+        df.sparkSession, {block: dict(df.dtypes)[block], label: "string"}, list(named.items())
     )
     return df.withColumn(position, F.lit(1)).unionByName(
         heads.withColumn(position, F.lit(0)), allowMissingColumns=True

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions.aggregates import total_of
 from tallyloom.functions.names import col, cols
 from tallyloom.operators.joins import null_safe_join
 
@@ -133,8 +134,6 @@ def total_and_distinct(
     Both come from one aggregation with a map-side combine. ``keep`` limits the other columns
     (``()`` for none), so that the scan reads no more than needed.
     """
-    from tallyloom.operators.rollup import total_of
-
     rest = [c for c in (df.columns if keep is None else keep) if c not in keys and c != total]
     aggs = [total_of(amount, nulls).alias(total)]
     if rest:

@@ -8,21 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.aggregates import mean_of, total_of
 from tallyloom.functions.names import col, cols
 from tallyloom.functions.values import filled
 from tallyloom.operators.joins import lookup_left, null_safe_join
 from tallyloom.operators.resolve import top_n_per_group
 
 
-def total_of(amount: str, nulls: str = "zero") -> Column:
-    """Sum expression: ``zero`` skips nulls and gives 0 for none; ``propagate`` lets a null win."""
-    if nulls == "zero":
-        return F.coalesce(F.sum(col(amount)), F.lit(0))
-    if nulls == "propagate":
-        return F.when(F.count(col(amount)) == F.count(F.lit(1)), F.sum(col(amount)))
-    raise ValueError("nulls is 'zero' or 'propagate'")
-
-
 def count_by(df: DataFrame, by: Sequence[str], alias: str = "n") -> DataFrame:
     return df.groupBy(*cols(by)).agg(F.count(F.lit(1)).alias(alias))
 
@@ -33,11 +25,6 @@ def sum_by(
     return df.groupBy(*cols(by)).agg(total_of(amount, nulls).alias(alias or amount))
 
 
-def mean_of(c: Column) -> Column:
-    """Mean as total over count, so that decimals keep their digits until the last step."""
-    return F.sum(c).cast("double") / F.count(c)
-
-
 def stats_by(
     df: DataFrame, by: Sequence[str], value: str, stats: Mapping[str, str]
 ) -> DataFrame:

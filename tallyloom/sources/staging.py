@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def staging_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset and local."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +21,7 @@ def staging_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def stage(df: DataFrame) -> DataFrame:

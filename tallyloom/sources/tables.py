@@ -81,6 +81,14 @@ def read_with_lineage(
     return out
 
 
+def literal_table(spark: SparkSession, columns: Mapping[str, str], rows: Sequence[Sequence]) -> DataFrame:
+    """A small table of fixed rows, planned with its true size so that joins can broadcast it."""
+    structs = [
+        F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(columns.items(), row, strict=True)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def safe_name(name: str) -> str:
     """Directory name of a table: letters, digits and underscores."""
     return re.sub(r"[^A-Za-z0-9]+", "_", name).strip("_").lower()
