@@ -43,6 +43,12 @@ def expand_grid(base: DataFrame, axes: Mapping[str, Sequence] | Sequence[str]) -
     return out
 
 
+def expand_observed(base: DataFrame, source: DataFrame, column: str, max_values: int = MAX_AXIS) -> DataFrame:
+    """Every row of ``base`` for every value of ``column`` seen in ``source``."""
+    values = observed_axes(source.select(col(column)).distinct(), [column], max_values).select(col(column))
+    return base.withColumn(column, F.explode(values.scalar()))
+
+
 def complete_against(
     df: DataFrame,
     expected: DataFrame,
@@ -77,10 +83,8 @@ def missing_members(
     """Roster members without a row, per observed period."""
     present = df.select(col(period), col(member)).distinct()
     if isinstance(roster, DataFrame):
-        axis = observed_axes(present, [period])
-        periods = axis.select(col(period)).scalar()
-        expected = roster.select(col(member)).distinct().withColumn(period, F.explode(periods))
-        expected = expected.select(col(period), col(member))
+        members = roster.select(col(member)).distinct()
+        expected = expand_observed(members, present, period).select(col(period), col(member))
     else:
         expected = expand_grid(present.select(col(period)).distinct(), {member: list(roster)})
     return drop_ids(expected, present, [period, member])

@@ -105,6 +105,7 @@ def resolve_subset(
     passthrough: Column,
     ties: str = "keep",
     order_by: Order = (),
+    null_keys: str = "drop",
 ) -> DataFrame:
     """Resolve the ``chosen`` rows to their group maximum, let ``passthrough`` rows by, drop the rest.
 
@@ -112,9 +113,9 @@ def resolve_subset(
     are marked by a left join, so the frame is read once for both parts.
     """
     if ties == "first":
-        resolved = keep_max(df.where(chosen), by, column, ties, order_by)
+        resolved = keep_max(df.where(chosen), by, column, ties, order_by, null_keys)
         return resolved.unionByName(df.where(passthrough))
-    candidates = df.where(chosen).na.drop("any", subset=[*by, column])
+    candidates = _drop_null_keys(df.where(chosen), by, null_keys).where(col(column).isNotNull())
     best = candidates.groupBy(*cols(by)).agg(F.max(col(column)).alias("__best"), F.lit(True).alias("__won"))
     marked = null_safe_join(df.where(chosen | passthrough), best, [*by, (column, "__best")], "left")
     return marked.where(passthrough | F.col("__won")).drop("__won")
