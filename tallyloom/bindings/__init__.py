@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["flagship", "resolution", "joining", "aggregation", "shaping", "cleaning", "output", "core_tables", "arp_tables"]
+MODULES = ["flagship", "resolution", "joining", "aggregation", "shaping", "cleaning", "output", "core_tables", "arp_tables", "submissions"]
 
 
 def load():

@@ -224,9 +224,10 @@ def questions_long(
 
 def explode_delimited(df: DataFrame, column: str, sep: str = "|") -> DataFrame:
     """One row per trimmed part of a delimited text; null stays one null row."""
-    parts = F.explode_outer(F.split(col(column), "\\Q" + sep + "\\E"))
-    out = df.select(*[parts.alias(c) if c == column else col(c) for c in df.columns])
-    return out.withColumn(column, strip(col(column)))
+    # Parts are trimmed inside the array, so that each is trimmed once however often it is used.
+    literal = "\\" + sep if len(sep) == 1 and not sep.isalnum() else "\\Q" + sep + "\\E"
+    parts = F.transform(F.split(col(column), literal), strip)
+    return df.select(*[F.explode_outer(parts).alias(c) if c == column else col(c) for c in df.columns])
 
 
 def pivot_strict(

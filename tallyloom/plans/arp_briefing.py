@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.names import col, cols
 from tallyloom.functions.values import (
-    count_text, money_text, more_than, not_in, overwrite_when, parse_amount, recode, status_label, strip, tri_state,
+    count_text, money_text, more_than, not_in, overwrite_when, parse_amount, recode, status_label, tri_state,
 )
 from tallyloom.operators import coverage, hygiene, joins, present, rollup
 from tallyloom.operators.reshape import explode_delimited, override_cells, pivot_fill
@@ -109,7 +109,7 @@ def form_rows(subawards: DataFrame, coalitions: DataFrame, source: str = "oldc_2
     split = explode_delimited(named, "funding_type", "|")
     unknown = col("funding_type").isNull()
     rules = [(unknown & col("ProgAcronym").isin(p), stream) for stream, p in UNSPECIFIED.items()]
-    stream = overwrite_when(recode(strip(col("funding_type")), STREAM_OF_TYPE, default="null"), rules)
+    stream = overwrite_when(recode(col("funding_type"), STREAM_OF_TYPE, default="null"), rules)
     blanks = {"oldc_match_shelter": None, "oldc_match_urban": None, "match_available": None}
     out = present.with_constants(split.withColumns({"stream": stream, "source": F.lit(source)}), blanks)
     return out.select(*cols(BASE))

@@ -6,9 +6,8 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallyloom.functions.names import col, cols, names_like, shared_keys
+from tallyloom.functions.names import col, cols, names_like
 from tallyloom.functions.values import parse_date, recode
 from tallyloom.operators import coverage, hygiene, joins, resolve
 from tallyloom.operators.reshape import (
@@ -58,11 +57,15 @@ def standardise(
 
 
 def section_keys(screens: Mapping[str, DataFrame], ids: Sequence[str], form: CoalitionForm) -> list[str]:
-    """Identifiers every section has: the ids and the cover columns shared with all screens."""
-    cover = screens[COVER]
-    varying = [*forms.ITERATIONS, *form.row_order]
-    wanted = [*ids, *[c for c in cover.columns if c not in ids and c not in varying]]
-    return [c for c in wanted if all(c in df.columns for df in screens.values())]
+    """Identifiers of every section: the ids, and the cover columns that some raw screen lacks."""
+    named = {s: [form.renames.get(c, c) for c in df.columns if c != "EIN"] for s, df in screens.items()}
+    shared_by_all = set(named[COVER]).intersection(*named.values())
+    varying = {*forms.ITERATIONS, *form.row_order}
+    added = [
+        c for c in named[COVER]
+        if c not in shared_by_all and c not in ids and c not in varying and "granteename" not in c.replace(" ", "").lower()
+    ]
+    return [*ids, *added]
 
 
 def section_table(
@@ -94,12 +97,17 @@ def sections(
         s: rename_columns(df, forms.ACTIVITY_REPAIRS) if s == ACTIVITIES else df for s, df in screens.items()
     }
     out = {s: section_table(df, s, keys, crosswalk, expected, names, form) for s, df in repaired.items()}
-    on = [*[k for k in keys if k != "CoalitionName"], "Missing", "CoalitionName"]
+    on = [*keys, "Missing", "CoalitionName"]
     answers = out[NARRATIVE].select(*cols([*on, *narrative_columns(out[NARRATIVE].columns, form)]))
     out[ACTIVITIES] = joins.lookup_left(out[ACTIVITIES], answers, on, unique=False)
     return out
 
 
+def long_id_columns(keys: Sequence[str]) -> list[str]:
+    """Identifier columns of the two long tables."""
+    return list(dict.fromkeys([*keys, "Missing", "CoalitionName", "Rpt-Receipt-Id"]))
+
+
 def narrative_long(section: DataFrame, ids: Sequence[str], form: CoalitionForm, dedup: str = "response") -> DataFrame:
     """(question, response) rows; equal responses of a submission keep the first question."""
     return questions_long(section, ids, narrative_columns(section.columns, form), dedup=dedup)
@@ -128,12 +136,10 @@ def run(
     ids = list(ids) if ids is not None else id_columns(screens[COVER], form)
     clean = clean_screens({s: screens[s] for s in forms.SECTIONS}, form.row_order, territories=False)
     standard = {s: stage_with(df) for s, df in standardise(clean, ids, names, form).items()}
-    keys = section_keys(standard, ids, form)
+    keys = section_keys(clean, ids, form)
     expected = expected_submissions(names.sparkSession, form, states)
     done = {s: stage_with(df) for s, df in sections(standard, keys, crosswalk, expected, names, form).items()}
-    long_ids = [*[k for k in keys if k != "CoalitionName"], "Missing", "CoalitionName"]
-    if "Rpt-Receipt-Id" not in long_ids:
-        long_ids.append("Rpt-Receipt-Id")
+    long_ids = long_id_columns(keys)
     tables = {forms.SECTIONS[s]: df for s, df in done.items()}
     tables["Section IV Narr Long Format"] = narrative_long(done[NARRATIVE], long_ids, form)
     tables["Section V SoA Long Format"] = activities_long(done[ACTIVITIES], long_ids, form)

@@ -137,6 +137,7 @@ class CoalitionForm:
     first_year: str = ""
     last_year: str = "9999"
     row_order: tuple[str, ...] = ("row_ix",)
+    pairs: tuple[tuple[str, str], ...] = tuple(COALITION_PERIODS)
 
     @property
     def renames(self) -> dict[str, str]:
@@ -147,7 +148,7 @@ class CoalitionForm:
 
     @property
     def periods(self) -> list[tuple[str, str]]:
-        return [(y, p) for y, p in COALITION_PERIODS if self.first_year <= y <= self.last_year]
+        return [(y, p) for y, p in self.pairs if self.first_year <= y <= self.last_year]
 
 
 COALITIONS_V1 = CoalitionForm("DunsId9", "DUNS", questions=5, last_year="2023")
