@@ -9,6 +9,7 @@ from tallyloom.bindings.registry import doubles, query
 from tallyloom.operators.present import with_constants
 from tallyloom.plans import analysis_set, coalitions, formula, forms
 from tallyloom.plans.forms import AMOUNT, CITY, NAME, SERVED, TYPE_RAW
+from tallyloom.sources.staging import stage
 from tallyloom.sources.tables import literal_table
 
 ORDERS = "orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"
@@ -109,9 +110,10 @@ def categories(spark):
 
 
 def resolved_submissions(spark, d):
+    """As the job does: what several steps read is written once and read back."""
     clean = formula.clean_screens(screens(spark, d))
-    joined = formula.join_screens(clean["Screen-1"], clean["Screen-3"], FORM)
-    return clean, joined, formula.original_format(joined)
+    joined = stage(formula.join_screens(clean["Screen-1"], clean["Screen-3"], FORM))
+    return clean, joined, stage(formula.original_format(joined))
 
 
 def subawards(spark, clean, resolved):
@@ -231,7 +233,8 @@ def states_missing(spark, d):
       LEFT JOIN subs s ON s.fy = y.fy AND s.kind = k.kind AND s.code = c.code AND s.program = p.program GROUP BY ALL""",
 )
 def states_status_counts(spark, d):
-    return formula.status_counts(resolved_submissions(spark, d)[1])
+    clean = formula.clean_screens(screens(spark, d))
+    return formula.status_counts(formula.join_screens(clean["Screen-1"], clean["Screen-3"], FORM))
 
 
 # Coalitions: several revisions per customer, year and program.
@@ -298,6 +301,8 @@ def coalition_sections(spark, d, wanted):
     clean = formula.clean_screens(raw, territories=False)
     keys = coalitions.section_keys(clean, CO_IDS, COALITION_FORM)
     standard = coalitions.standardise({s: clean[s] for s in ("Screen-1", *wanted)}, CO_IDS, names, COALITION_FORM)
+    if wanted:
+        standard = {s: stage(df) for s, df in standard.items()}
     expected = coalitions.expected_submissions(spark, COALITION_FORM, STATES)
     xw = coalition_crosswalk(spark)
     if "Screen-5" in wanted:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +18,14 @@ def col(name: str) -> Column:
     return F.col(quote(name))
 
 
-def cols(names: Iterable[str]) -> list[Column]:
-    return [col(n) for n in names]
+def cols(names: Iterable[str]) -> list[str]:
+    """Quoted names, for the calls that take names: cheaper to plan than column objects."""
+    return [quote(n) for n in names]
+
+
+def renamed(names: Mapping[str, str]) -> list[str]:
+    """``selectExpr`` texts that give every column its (possibly same) new name."""
+    return [f"{quote(c)} AS {quote(n)}" for c, n in names.items()]
 
 
 def names_like(

@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.names import col, names_like
-from tallyloom.functions.values import not_in, null_if_in, recode, strip
+from tallyloom.functions.names import col, names_like, quote
+from tallyloom.functions.values import WHITESPACE, not_in, null_if_in, recode
 
 
 def clean_strings(
@@ -24,12 +24,18 @@ def clean_strings(
     """
     chosen = set(columns if columns is not None else [n for n, t in df.dtypes if t == "string"])
 
-    def cleaned(name: str):
-        c = strip(col(name)) if trim_first else col(name)
-        c = null_if_in(c, sentinels) if sentinels else c
-        return (strip(c) if trim and not trim_first else c).alias(name)
+    blank = "'" + "".join(f"\\u{ord(w):04x}" for w in WHITESPACE) + "'"
+    listed = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in sentinels)
 
-    return df.select(*[cleaned(n) if n in chosen else col(n) for n in df.columns])
+    def cleaned(name: str) -> str:
+        # Written as SQL text: wide forms have hundreds of columns, and texts plan faster.
+        c = quote(name)
+        c = f"btrim({c}, {blank})" if trim_first else c
+        c = f"CASE WHEN NOT coalesce({c} IN ({listed}), false) THEN {c} END" if sentinels else c
+        c = f"btrim({c}, {blank})" if trim and not trim_first else c
+        return f"{c} AS {quote(name)}"
+
+    return df.selectExpr(*[cleaned(n) if n in chosen else quote(n) for n in df.columns])
 
 
 def null_values_like(

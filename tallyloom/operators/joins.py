@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.names import col, cols, shared_keys
+from tallyloom.functions.names import col, cols, quote, renamed, shared_keys
 from tallyloom.functions.values import check
 
 Keys = Sequence[str | tuple[str, str]]
@@ -45,11 +45,9 @@ def null_safe_join(
     moved = {c: c + suffixes[1] if c in clash else c for c in rest}
     kept = {c: c + suffixes[0] if c in clash and how not in ("left_semi", "left_anti") else c for c in left.columns}
 
-    probe = left.select(*[col(c).alias(n) for c, n in kept.items()])
-    build = right.select(
-        *[col(r).alias(f"__key{i}") for i, (_, r) in enumerate(pairs)],
-        *[col(c).alias(n) for c, n in moved.items()],
-    )
+    probe = left if all(c == n for c, n in kept.items()) else left.selectExpr(*renamed(kept))
+    keys = [f"{quote(r)} AS __key{i}" for i, (_, r) in enumerate(pairs)]
+    build = right.selectExpr(*keys, *renamed(moved))
     cond = reduce(
         lambda a, b: a & b,
         [col(kept[l]).eqNullSafe(F.col(f"__key{i}")) for i, (l, _) in enumerate(pairs)],
@@ -58,13 +56,12 @@ def null_safe_join(
     if how in ("left_semi", "left_anti"):
         return joined
     out = []
+    merged = how in ("full", "outer", "full_outer", "right", "right_outer")
+    at = {l: i for i, (l, _) in enumerate(pairs)}
     for c, n in kept.items():
-        i = next((i for i, (l, _) in enumerate(pairs) if l == c), None)
-        if i is not None and how in ("full", "outer", "full_outer", "right", "right_outer"):
-            out.append(F.coalesce(col(n), F.col(f"__key{i}")).alias(n))
-        else:
-            out.append(col(n))
-    return joined.select(*out, *cols(moved.values()))
+        name = quote(n)
+        out.append(f"coalesce({name}, __key{at[c]}) AS {name}" if merged and c in at else name)
+    return joined.selectExpr(*out, *cols(moved.values()))
 
 
 def join_shared(

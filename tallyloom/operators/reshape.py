@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.names import col, cols
+from tallyloom.functions.names import col, cols, quote, renamed
 from tallyloom.functions.values import check, classify_text, strip, without_text
 from tallyloom.operators.joins import lookup_left, null_safe_join
 from tallyloom.operators.resolve import distinct_on
@@ -27,7 +27,7 @@ def to_long(
 ) -> DataFrame:
     """Wide to long; all values become text first, as mixed types cannot share a column."""
     chosen = [c for c in df.columns if c not in ids] if values is None else list(values)
-    text = df.select(*cols(ids), *[col(c).cast("string").alias(c) for c in chosen])
+    text = df.selectExpr(*cols(ids), *[f"CAST({quote(c)} AS STRING) AS {quote(c)}" for c in chosen])
     return text.unpivot(cols(ids), cols(chosen), variable, value)
 
 
@@ -56,7 +56,7 @@ def rename_by_crosswalk(
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Simultaneous renames: ``{a: b, b: c}`` moves both, unlike renames one after another."""
-    return df.select(*[col(c).alias(mapping.get(c, c)) for c in df.columns])
+    return df.selectExpr(*renamed({c: mapping.get(c, c) for c in df.columns}))
 
 
 def rename_by_substring(df: DataFrame, replacements: Mapping[str, Sequence[str]] | None) -> DataFrame:

@@ -188,7 +188,7 @@ def latest_attribute(
     newest = top_n_per_group(
         df.select(*cols(dict.fromkeys([key, period, value, *order_by]))).where(col(period).isNotNull()),
         [key],
-        [col(period).desc(), *cols(order_by)],
+        [col(period).desc(), *order_by],
         1,
     )
     chosen = col(value) if floor is None else F.when(col(period) >= floor, col(value))
