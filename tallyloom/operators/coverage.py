@@ -113,8 +113,8 @@ def contingency(
 ) -> DataFrame:
     """Counts over the full product of the observed values, 0 where nothing was seen.
 
-    Rows with a null axis are not counted. The source is read once: axes are taken from the
-    counts, not from the rows.
+    Rows with a null axis are not counted. Axes are taken from the folded counts, not from
+    the rows.
     """
     counts = df.na.drop("any", subset=list(axes)).groupBy(*cols(axes)).agg(F.count(F.lit(1)).alias(alias))
     grid = expand_grid(observed_axes(counts, axes, max_values), list(axes))

@@ -29,11 +29,13 @@ def null_safe_join(
     on: Keys,
     how: str = "inner",
     suffixes: tuple[str, str] = ("", "_right"),
+    null_match: bool = True,
 ) -> DataFrame:
     """Equi-join in which null keys match null keys.
 
     ``on`` holds names, or (left, right) pairs. The result has the left columns, then the
-    right columns that are not keys; other name clashes take the suffixes.
+    right columns that are not keys; other name clashes take the suffixes. With
+    ``null_match=False`` nulls match nothing, and tables bucketed on the keys need no shuffle.
     """
     pairs = key_pairs(on)
     right_keys = {r for _, r in pairs}
@@ -50,7 +52,10 @@ def null_safe_join(
     build = right.selectExpr(*keys, *renamed(moved))
     cond = reduce(
         lambda a, b: a & b,
-        [col(kept[l]).eqNullSafe(F.col(f"__key{i}")) for i, (l, _) in enumerate(pairs)],
+        [
+            col(kept[l]).eqNullSafe(F.col(f"__key{i}")) if null_match else col(kept[l]) == F.col(f"__key{i}")
+            for i, (l, _) in enumerate(pairs)
+        ],
     )
     joined = probe.join(build, cond, how)
     if how in ("left_semi", "left_anti"):

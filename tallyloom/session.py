@@ -12,11 +12,16 @@ CLUSTER = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A group larger than this in one shuffle partition is split.
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    # Split it even where that costs another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Whole texts cross to Python; bound a batch by rows as well as by bytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 

@@ -111,6 +111,51 @@ def write_table_set(
     return paths
 
 
+def overwrite_periods(df: DataFrame, path: str, period: str) -> None:
+    """Replace only the periods present in ``df`` in a history stored by period.
+
+    Rows are rebalanced by period: adaptive execution splits a large period over many tasks
+    and files, and merges small ones.
+    """
+    (
+        df.hint("rebalance", col(period))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(period)
+        .parquet(path)
+    )
+
+
+def literal_table(spark: SparkSession, columns: Mapping[str, str], rows: Sequence[Sequence]) -> DataFrame:
+    """A small table of fixed rows, planned with its true size so that joins can broadcast it."""
+    structs = [
+        F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(columns.items(), row, strict=True)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def safe_name(name: str) -> str:
+    """Directory name of a table: letters, digits and underscores."""
+    return re.sub(r"[^A-Za-z0-9]+", "_", name).strip("_").lower()
+
+
+def write_table_set(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    mode: str = "errorifexists",
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, str]:
+    """Write each table to its own directory under ``root``; returns name -> path."""
+    paths = {n: f"{root}/{safe_name(n)}" for n in tables}
+    if len(set(paths.values())) != len(paths):
+        raise ValueError("two table names share a directory")
+    for name, df in tables.items():
+        writer = df.write.mode(mode)
+        by = (partition_by or {}).get(name)
+        (writer.partitionBy(*by) if by else writer).parquet(paths[name])
+    return paths
+
+
 def overwrite_periods(df: DataFrame, path: str, period: str) -> None:
     """Replace only the periods present in ``df`` in a history stored by period."""
     (
