@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.bindings.domain import REGIONS, TEXTS, YEARS, ctes, derived
+from tallyloom.bindings.domain import HEADERS, REGIONS, TEXTS, YEARS, ctes, derived
 from tallyloom.bindings.registry import query
 from tallyloom.plans import arp_briefing as arp
+from tallyloom.sources.staging import stage
 from tallyloom.sources.tables import literal_table
 
 SHEET_YEAR, FORM_YEARS = YEARS[0], YEARS[1:]
@@ -85,8 +86,6 @@ def arp_rows(spark, d):
         derived(spark, d, "arp_coalitions"), derived(spark, d, "categories"), SHEET_YEAR,
     )
     text = TEXTS["subawards"] + f" WHERE year(o_orderdate) > {SHEET_YEAR}"
-    from tallyloom.bindings.domain import HEADERS
-
     headers = {**HEADERS["subawards"], "arp_program": "ProgAcronym"}
     headers.pop("program")
     rows = derived(spark, d, "subawards", text, headers)
@@ -124,6 +123,10 @@ def expected_subaward_reports(spark, d):
     return arp.expected_subaward_reports(arp_rows(spark, d), regions(spark, d), BRIEFING)
 
 
+def status_of(spark, d, rows):
+    return arp.expected_status(arp.expected_subaward_reports(rows, regions(spark, d), BRIEFING), reports(spark, d))
+
+
 @query(
     "arp_subaward_report_counts",
     BASE + """SELECT year AS "Year", program AS "ProgAcronym", has AS has_arp_subawardees, count(*) AS n FROM expected
@@ -139,7 +142,7 @@ def subaward_report_counts(spark, d):
       code AS "CodeTxt", completeness AS ppr_completeness FROM status""",
 )
 def expected_status(spark, d):
-    return arp.expected_status(expected_subaward_reports(spark, d), reports(spark, d))
+    return status_of(spark, d, arp_rows(spark, d))
 
 
 @query(
@@ -294,7 +297,9 @@ def submission_matrix(spark, d):
         spark, {"state": "string", "year": "int", "stream": "string", "n": "string"},
         [("NATION_3", 2000, "ARP Unspecified", "0")],
     )
-    return arp.submission_matrix(arp_rows(spark, d), expected_status(spark, d), regions(spark, d), fixes, BRIEFING)
+    # Read by the counts and, twice, by the expectations: written once, with what they need.
+    rows = stage(arp_rows(spark, d).select("year", *arp.ENTITY, "stream", "ProgAcronym").distinct())
+    return arp.submission_matrix(rows, status_of(spark, d, rows), regions(spark, d), fixes, BRIEFING)
 
 
 @query(

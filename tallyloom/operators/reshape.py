@@ -237,9 +237,14 @@ def pivot_strict(
     value: str,
     labels: Sequence[str],
 ) -> DataFrame:
-    """Long to wide by declared labels; a repeated (ids, label) fails the job."""
+    """Long to wide by declared labels; a repeated (ids, label) fails the job.
+
+    Rows are placed by ids once: a key holds at most one row per label, and both groupings
+    below then work inside that placement.
+    """
     cells = (
         df.where(col(label).isin(list(labels)))
+        .repartition(*cols(ids))
         .groupBy(*cols(ids), col(label))
         .agg(F.max(col(value)).alias("__v"), F.count(F.lit(1)).alias("__n"))
         .where(check(F.col("__n") == 1, f"pivot: {label} occurs twice for one key of {list(ids)}"))
