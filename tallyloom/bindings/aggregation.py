@@ -155,14 +155,14 @@ def paired_totals(spark, d):
     WITH {PLACED}, sums AS (
       SELECT yr, nationkey, CAST(coalesce(sum(amount) FILTER (l_returnflag='A'), 0) AS DOUBLE) AS total_a,
              CAST(coalesce(sum(amount) FILTER (l_returnflag='R'), 0) AS DOUBLE) AS total_r
-      FROM lines WHERE l_linestatus = 'F' AND amount > 90000 GROUP BY ALL)
+      FROM lines WHERE l_linestatus = 'F' GROUP BY ALL)
     SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS yr, c_nationkey AS nationkey, total_a, total_r
     FROM orders JOIN customer ON o_custkey = c_custkey
     LEFT JOIN sums s ON s.yr = CAST(year(o_orderdate) AS INT) AND s.nationkey = c_nationkey
     """,
 )
 def category_totals(spark, d):
-    facts = lines_with_region(spark, d).where("l_linestatus = 'F' and amount > 90000")
+    facts = lines_with_region(spark, d).where("l_linestatus = 'F'")
     rows = orders_with_nation(spark, d).select("o_orderkey", "yr", "nationkey")
     out = rollup.category_totals(
         rows, facts, ["yr", "nationkey"], "l_returnflag", "amount", {"A": "total_a", "R": "total_r"}

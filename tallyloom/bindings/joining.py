@@ -159,23 +159,23 @@ def missing_members(spark, d):
     return coverage.missing_members(seen, roster, "yr", "nationkey")
 
 
-def _totals_of(spark, d, kind: str, low: float = 0.0):
-    e = table(spark, d, "events").where((F.col("event_type") == kind) & (F.col("value") > low))
-    return e.withColumn("value", money("value")).groupBy("user_id").agg(F.sum("value").alias(kind))
+def _totals_of(spark, d, kind: str):
+    e = table(spark, d, "events").where(F.col("event_type") == kind)
+    return e.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.sum(money("value")).alias(kind))
 
 
 @query(
     "outer_measures",
     """
-    SELECT user_id, CAST(a.v AS DOUBLE) AS click, CAST(b.v AS DOUBLE) AS "view", CAST(c.v AS DOUBLE) AS purchase
-    FROM (SELECT user_id, sum(CAST(value AS DECIMAL(18,2))) AS v FROM events WHERE event_type='click' AND value > 60 GROUP BY 1) a
-    FULL JOIN (SELECT user_id, sum(CAST(value AS DECIMAL(18,2))) AS v FROM events WHERE event_type='view' AND value > 80 GROUP BY 1) b USING (user_id)
-    FULL JOIN (SELECT user_id, sum(CAST(value AS DECIMAL(18,2))) AS v FROM events WHERE event_type='purchase' AND value > 90 GROUP BY 1) c USING (user_id)
+    SELECT user_id, day, CAST(a.v AS DOUBLE) AS click, CAST(b.v AS DOUBLE) AS "view", CAST(c.v AS DOUBLE) AS purchase
+    FROM (SELECT user_id, CAST(ts AS DATE) AS day, sum(CAST(value AS DECIMAL(18,2))) AS v FROM events WHERE event_type='click' GROUP BY ALL) a
+    FULL JOIN (SELECT user_id, CAST(ts AS DATE) AS day, sum(CAST(value AS DECIMAL(18,2))) AS v FROM events WHERE event_type='view' GROUP BY ALL) b USING (user_id, day)
+    FULL JOIN (SELECT user_id, CAST(ts AS DATE) AS day, sum(CAST(value AS DECIMAL(18,2))) AS v FROM events WHERE event_type='purchase' GROUP BY ALL) c USING (user_id, day)
     """,
 )
 def outer_measures(spark, d):
-    frames = [_totals_of(spark, d, "click", 60), _totals_of(spark, d, "view", 80), _totals_of(spark, d, "purchase", 90)]
-    return doubles(joins.outer_measures(frames, ["user_id"]), "click", "view", "purchase")
+    frames = [_totals_of(spark, d, kind) for kind in ("click", "view", "purchase")]
+    return doubles(joins.outer_measures(frames, ["user_id", "day"]), "click", "view", "purchase")
 
 
 @query(
@@ -231,9 +231,9 @@ def align_key_types(spark, d):
     "complete_grid",
     """
     WITH counts AS (
-      SELECT r_name, o_orderpriority, CAST(year(o_orderdate) AS INT) AS yr, count(*) AS n
+      SELECT r_name, o_orderpriority, CASE WHEN o_totalprice > 495000 THEN CAST(year(o_orderdate) AS INT) ELSE 0 END AS yr, count(*) AS n
       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-      JOIN region ON n_regionkey = r_regionkey WHERE o_totalprice > 495000 GROUP BY ALL),
+      JOIN region ON n_regionkey = r_regionkey GROUP BY ALL),
     grid AS (
       SELECT r AS r_name, p AS o_orderpriority, CAST(y AS INT) AS yr
       FROM unnest(['AFRICA','AMERICA','ASIA','EUROPE','MARS']) AS a(r),
@@ -246,7 +246,8 @@ def complete_grid(spark, d):
     nations = joins.null_safe_join(
         table(spark, d, "nation"), table(spark, d, "region"), [("n_regionkey", "r_regionkey")]
     ).select("n_nationkey", "r_name")
-    o = orders_with_nation(spark, d).where("o_totalprice > 495000")
+    """Counts of large orders per year; all others are a row outside the declared years."""
+    o = orders_with_nation(spark, d).withColumn("yr", F.when(F.col("o_totalprice") > 495000, F.col("yr")).otherwise(0))
     counts = (
         joins.lookup_left(o, nations, [("nationkey", "n_nationkey")])
         .groupBy("r_name", "o_orderpriority", "yr").agg(F.count(F.lit(1)).alias("n"))
@@ -258,18 +259,16 @@ def complete_grid(spark, d):
 @query(
     "contingency",
     """
-    WITH ax AS (SELECT yr, o_orderstatus, o_orderpriority FROM
-        (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS yr FROM orders WHERE o_totalprice > 499000),
-        (SELECT DISTINCT o_orderstatus FROM orders WHERE o_totalprice > 499000),
-        (SELECT DISTINCT o_orderpriority FROM orders WHERE o_totalprice > 499000))
-    SELECT ax.yr, ax.o_orderstatus, ax.o_orderpriority, count(o_orderkey) AS "count"
-    FROM ax LEFT JOIN orders o ON CAST(year(o_orderdate) AS INT) = ax.yr AND o.o_orderstatus = ax.o_orderstatus
-      AND o.o_orderpriority = ax.o_orderpriority AND o_totalprice > 499000
-    GROUP BY ALL
+    WITH o AS (SELECT CASE WHEN o_totalprice > 499000 THEN CAST(year(o_orderdate) AS INT) ELSE 0 END AS yr, o_orderstatus, o_orderpriority FROM orders),
+    ax AS (SELECT yr, o_orderstatus, o_orderpriority FROM
+        (SELECT DISTINCT yr FROM o), (SELECT DISTINCT o_orderstatus FROM o), (SELECT DISTINCT o_orderpriority FROM o)),
+    c AS (SELECT yr, o_orderstatus, o_orderpriority, count(*) AS n FROM o GROUP BY ALL)
+    SELECT yr, o_orderstatus, o_orderpriority, coalesce(n, 0) AS "count" FROM ax LEFT JOIN c USING (yr, o_orderstatus, o_orderpriority)
     """,
 )
 def contingency(spark, d):
-    o = table(spark, d, "orders").where("o_totalprice > 499000").withColumn("yr", F.year("o_orderdate"))
+    yr = F.when(F.col("o_totalprice") > 499000, F.year("o_orderdate")).otherwise(0)
+    o = table(spark, d, "orders").withColumn("yr", yr)
     return coverage.contingency(o, ["yr", "o_orderstatus", "o_orderpriority"])
 
 

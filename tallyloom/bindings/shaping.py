@@ -203,9 +203,7 @@ def prefix_families_long(spark, d):
     )
 
 
-@query(
-    "questions_long",
-    """
+QUESTIONS = """
     WITH l AS (
       SELECT doc_id, 1 AS pos, '1. lang' AS question, lang AS response FROM documents
       UNION ALL SELECT doc_id, 2, '2. source', CASE WHEN n_chars > 500 THEN source ELSE lang END FROM documents
@@ -213,19 +211,30 @@ def prefix_families_long(spark, d):
       UNION ALL SELECT doc_id, 4, '4. again', CASE WHEN n_chars > 9000 THEN text END FROM documents)
     SELECT doc_id, question, response FROM (
       SELECT *, row_number() OVER (PARTITION BY doc_id, response ORDER BY pos) AS rn FROM l) WHERE rn = 1
-    """,
-)
-def questions_long(spark, d):
-    docs = table(spark, d, "documents").select(
+"""
+
+
+def _questions(spark, d):
+    return table(spark, d, "documents").select(
         "doc_id",
         F.col("lang").alias("1. lang"),
         F.when(F.col("n_chars") > 500, F.col("source")).otherwise(F.col("lang")).alias("2. source"),
         F.when(F.col("n_chars") > 2000, F.col("text")).alias("3. long"),
         F.when(F.col("n_chars") > 9000, F.col("text")).alias("4. again"),
     )
-    return reshape.questions_long(
-        docs, ["doc_id"], ["1. lang", "2. source", "3. long", "4. again"], "question", "response"
-    )
+
+
+ASKED = ["1. lang", "2. source", "3. long", "4. again"]
+
+
+@query("questions_long", QUESTIONS)
+def questions_long(spark, d):
+    return reshape.questions_long(_questions(spark, d), ["doc_id"], ASKED, "question", "response")
+
+
+@query("questions_long_in_row", QUESTIONS)
+def questions_long_in_row(spark, d):
+    return reshape.questions_long(_questions(spark, d), ["doc_id"], ASKED, "question", "response", unique_ids=True)
 
 
 @query(

@@ -42,12 +42,17 @@ LINES = f"""
 HEADERS = {
     "fy": "Fy", "rpt_ein": "RptEin", "grantee": "GranteeName", "kind": "GranteeTypeTxt", "postal": "PostalCode", "program": "ProgAcronym",
     "code": "CodeTxt", "rev": "RevSeqNumber", "receipt": "Rpt-Receipt-Id", "submitted": "SubmitDate",
-    "comment": "Any comments, please?", "sub_name": NAME, "city": CITY, "sub_kind": TYPE_RAW, "amount": AMOUNT, "served": SERVED,
+    "comment": "Any comments, please?.1", "sub_name": NAME, "city": CITY, "sub_kind": TYPE_RAW, "amount": AMOUNT, "served": SERVED,
     **{f"m{i}": n for i, n in enumerate([*CLIENTS, *OUTCOMES])},
 }
 FORM = forms.StateForm(
     keys=("Fy", "RptEin", "GranteeName", "GranteeTypeTxt", "PostalCode", "ProgAcronym", "CodeTxt", "RevSeqNumber", "Rpt-Receipt-Id"),
     name_floor=2000,
+    repairs={"Any comments, please?": ["Any comments, please?"]},
+)
+# The later form leaves the header as it came and maps it to the lookup instead.
+FORM_V8 = forms.StateForm(
+    keys=FORM.keys, name_floor=2000, question_names={"Any comments, please?.1": "ANY COMMENTS, PLEASE?...50"}
 )
 ROSTER = [f"NATION_{i}" for i in range(25)] + ["NATION_99"]
 LABELS = [*GROUPS, "Comments", "Shelter Funds", "Other Funds"]
@@ -86,9 +91,9 @@ def screens(spark, d):
             "Screen-3": metrics.withColumn("Screen-Name", F.lit("metrics"))}
 
 
-def lookup(spark):
+def lookup(spark, comment="ANY COMMENTS, PLEASE?"):
     rows = [(c.upper(), f"c{i}", f"q{i}") for i, c in enumerate(CLIENTS)]
-    rows += [("ANY COMMENTS, PLEASE?", "comments", "text"), ("CODETXT", None, "status"), ("NOT A COLUMN", "absent", "x")]
+    rows += [(comment, "comments", "text"), ("CODETXT", None, "status"), ("NOT A COLUMN", "absent", "x")]
     table = literal_table(spark, {"Meta Name Description": "string", "Element": "string", "Demo": "string"}, rows)
     return with_constants(table, {"Clients": None, "In Use": None, "TypeService": None, "Outcomes": None})
 
@@ -109,10 +114,10 @@ def categories(spark):
     )
 
 
-def resolved_submissions(spark, d):
+def resolved_submissions(spark, d, form=FORM):
     """As the job does: what several steps read is written once and read back."""
     clean = formula.clean_screens(screens(spark, d))
-    joined = stage(formula.join_screens(clean["Screen-1"], clean["Screen-3"], FORM))
+    joined = stage(formula.join_screens(clean["Screen-1"], clean["Screen-3"], form))
     return clean, joined, stage(formula.original_format(joined))
 
 
@@ -169,6 +174,14 @@ def states_long_format(spark, d):
     return long_rows(spark, d)[2].drop("Clients", "In Use", "TypeService", "Outcomes")
 
 
+@query("states_v8_long_format", CLEAN + f"""SELECT {IDS}, demo AS "Demo", element AS "Element", v AS "Value" FROM elements""")
+def states_v8_long_format(spark, d):
+    clean, _, resolved = resolved_submissions(spark, d, FORM_V8)
+    names = lookup(spark, "ANY COMMENTS, PLEASE?...50")
+    out = formula.long_table(resolved, subawards(spark, clean, resolved), names, FORM_V8)
+    return out.drop("Clients", "In Use", "TypeService", "Outcomes")
+
+
 @query(
     "states_long_history",
     CLEAN + f"""SELECT {IDS}, element AS "Element", v AS "Value" FROM elements
@@ -274,9 +287,17 @@ CO_BASE = f"""
 CO_OUT = 'state AS "State", CAST(fy AS VARCHAR) AS "Year", program AS "Program Abbr", f.ein AS "EIN", missing AS "Missing", coalition AS "CoalitionName"'
 
 
-def coalition_screens(spark, d):
+# The later form identifies a coalition by another code.
+COALITION_FORM_V2 = forms.CoalitionForm(
+    "UEI[Unique Entity Identifier]", "UEI", questions=7, pairs=COALITION_FORM.pairs, first_year="1995", last_year="2001"
+)
+
+
+def coalition_screens(spark, d, form=COALITION_FORM):
+    headers = {**CO_HEADERS, "duns": form.code_column}
+
     def screen(text: str, name: str):
-        df = derived(spark, d, "", text, CO_HEADERS)
+        df = derived(spark, d, "", text, headers)
         text_date = F.date_format("SubmitDate", "MM/dd/yyyy")
         return df.withColumns({"SubmitDate": text_date, "Screen-Name": F.lit(name)})
 
@@ -292,23 +313,23 @@ def coalition_crosswalk(spark):
     return literal_table(spark, {"Meta Name Description": "string", "Label": "string"}, rows)
 
 
-def coalition_sections(spark, d, wanted):
+def coalition_sections(spark, d, wanted, form=COALITION_FORM):
     """The wanted sections with their keys; the cover page always takes part."""
-    raw = coalition_screens(spark, d)
+    raw = coalition_screens(spark, d, form)
     names = literal_table(
         spark, {"State": "string", "CoalitionName": "string"}, [(s, f"Coalition {s}") for s in STATES]
     )
     clean = formula.clean_screens(raw, territories=False)
-    keys = coalitions.section_keys(clean, CO_IDS, COALITION_FORM)
-    standard = coalitions.standardise({s: clean[s] for s in ("Screen-1", *wanted)}, CO_IDS, names, COALITION_FORM)
+    keys = coalitions.section_keys(clean, CO_IDS, form)
+    standard = coalitions.standardise({s: clean[s] for s in ("Screen-1", *wanted)}, CO_IDS, names, form)
     if wanted:
         standard = {s: stage(df) for s, df in standard.items()}
-    expected = coalitions.expected_submissions(spark, COALITION_FORM, STATES)
+    expected = coalitions.expected_submissions(spark, form, STATES)
     xw = coalition_crosswalk(spark)
     if "Screen-5" in wanted:
-        return keys, coalitions.sections(standard, keys, xw, expected, names, COALITION_FORM)
+        return keys, coalitions.sections(standard, keys, xw, expected, names, form)
     return keys, {
-        s: coalitions.section_table(df, s, keys, xw, expected, names, COALITION_FORM) for s, df in standard.items()
+        s: coalitions.section_table(df, s, keys, xw, expected, names, form) for s, df in standard.items()
     }
 
 
@@ -332,6 +353,15 @@ def coalition_cover_section(spark, d):
     return out["Screen-1"].select(*CO_IDS, "Missing", "CoalitionName", "DUNS", "Program Name", "RevSeqNumber", "SubmitDate", "`Rpt-Receipt-Id`")
 
 
+@query(
+    "coalition_v2_cover_section",
+    CO_BASE + f"""SELECT {CO_OUT}, duns AS "UEI", program_name AS "Program Name", receipt AS "Rpt-Receipt-Id" FROM full_grid f""",
+)
+def coalition_v2_cover_section(spark, d):
+    _, out = coalition_sections(spark, d, [], COALITION_FORM_V2)
+    return out["Screen-1"].select(*CO_IDS, "Missing", "CoalitionName", "UEI", "Program Name", "`Rpt-Receipt-Id`")
+
+
 ANSWERED = CO_BASE + f""", best_answers AS (SELECT * FROM answers QUALIFY {CO_BEST}), best_acts AS (SELECT * FROM acts QUALIFY {CO_BEST}) """
 _ACTS = """
   CASE WHEN lower(inv_a) = 'select' THEN NULL ELSE inv_a END AS inv_a, typ_a, sho_a, TRY_CAST(tra_b AS DOUBLE) AS tra_b, n1, n2, n3
@@ -375,7 +405,7 @@ def coalition_narrative_long(spark, d):
 )
 def coalition_activities_long(spark, d):
     keys, out = coalition_sections(spark, d, ["Screen-4", "Screen-5"])
-    long = coalitions.activities_long(out["Screen-5"], coalitions.long_id_columns(keys), COALITION_FORM)
+    long = coalitions.activities_long(out["Screen-5"], coalitions.long_id_columns(keys))
     return long.withColumn("Number of People Trained", F.col("Number of People Trained").cast("double"))
 
 

@@ -203,18 +203,31 @@ def questions_long(
     response: str = "Response",
     dedup: str = "response",
     order_by: Sequence[str] = (),
+    unique_ids: bool = False,
 ) -> DataFrame:
     """Question columns to (question, response) rows.
 
     ``dedup='response'`` keeps, per ids, the first question of equal responses (nulls are
-    equal); ``'question'`` keeps one row per question; ``'none'`` keeps all.
+    equal); ``'question'`` keeps one row per question; ``'none'`` keeps all. Where ids are
+    known to be unique per row, ``unique_ids`` settles repeats inside the row: no text is
+    shuffled.
     """
-    rows = [
-        F.struct(F.lit(i).alias("__at"), F.lit(q).alias(question), col(q).cast("string").alias(response))
-        for i, q in enumerate(questions)
-    ]
+    rows = F.array(
+        *[
+            F.struct(F.lit(i).alias("__at"), F.lit(q).alias(question), col(q).cast("string").alias(response))
+            for i, q in enumerate(questions)
+        ]
+    )
+    if unique_ids:
+        if dedup == "response":
+            # Structs, unlike plain values, compare as equal when both hold null.
+            answers = F.transform(rows, lambda r: F.struct(r[response]))
+            rows = F.filter(
+                rows, lambda r: F.array_position(answers, F.struct(r[response])) == r["__at"] + 1
+            )
+        return df.select(*cols(ids), F.inline(rows)).select(*cols(ids), col(question), col(response))
     order = [c for c in order_by if c not in ids]
-    long = df.select(*cols(ids), *cols(order), F.inline(F.array(*rows)))
+    long = df.select(*cols(ids), *cols(order), F.inline(rows))
     if dedup == "response":
         long = distinct_on(long, [*ids, response], ["__at", *order])
     elif dedup == "question":

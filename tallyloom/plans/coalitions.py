@@ -110,14 +110,14 @@ def long_id_columns(keys: Sequence[str]) -> list[str]:
 
 def narrative_long(section: DataFrame, ids: Sequence[str], form: CoalitionForm, dedup: str = "response") -> DataFrame:
     """(question, response) rows; equal responses of a submission keep the first question."""
-    return questions_long(section, ids, narrative_columns(section.columns, form), dedup=dedup)
+    return questions_long(
+        section, ids, narrative_columns(section.columns, form), dedup=dedup, unique_ids=True
+    )
 
 
-def activities_long(section: DataFrame, ids: Sequence[str], form: CoalitionForm) -> DataFrame:
-    """One row per priority area and type of activity."""
-    return prefix_families_long(
-        section, ids, forms.ACTIVITY_FAMILIES, explode="Types of Activities", order_by=list(form.row_order)
-    )
+def activities_long(section: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """One row per priority area and type of activity. A section holds its ids once."""
+    return prefix_families_long(section, ids, forms.ACTIVITY_FAMILIES, explode="Types of Activities")
 
 
 def run(
@@ -142,5 +142,5 @@ def run(
     long_ids = long_id_columns(keys)
     tables = {forms.SECTIONS[s]: df for s, df in done.items()}
     tables["Section IV Narr Long Format"] = narrative_long(done[NARRATIVE], long_ids, form)
-    tables["Section V SoA Long Format"] = activities_long(done[ACTIVITIES], long_ids, form)
+    tables["Section V SoA Long Format"] = activities_long(done[ACTIVITIES], long_ids)
     return publish(tables, root, "coalitions", version, description)
