@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.bindings.aggregation import ORDERS, orders_with_region
-from tallyloom.bindings.joining import PRIORITIES, YEARS
-from tallyloom.bindings.registry import doubles, money, query, table
+from tallyloom.bindings.aggregation import ORDERS, orders_with_region, places
+from tallyloom.bindings.joining import YEARS
+from tallyloom.bindings.registry import money, query, table
 from tallyloom.functions.names import names_like
-from tallyloom.operators import present, reshape, rollup
+from tallyloom.operators import joins, present, reshape, rollup
 from tallyloom.sources.tables import literal_table
 
 
@@ -151,7 +151,9 @@ USER_WIDE = """
 
 
 def _user_wide(spark, d):
-    is_type = lambda k: F.col("event_type") == k
+    def is_type(kind):
+        return F.col("event_type") == kind
+
     e = table(spark, d, "events")
     return e.groupBy("user_id").agg(
         F.count_if(is_type("click")).alias("NUMBER click"),
@@ -336,9 +338,6 @@ def align_columns(spark, d):
     """,
 )
 def band_rows(spark, d):
-    from tallyloom.bindings.aggregation import places
-    from tallyloom.operators import joins
-
     c = joins.lookup_left(table(spark, d, "customer"), places(spark, d), [("c_nationkey", "nationkey")])
     counts = c.groupBy("c_mktsegment", F.col("n_name").alias("label")).agg(F.count(F.lit(1)).alias("n"))
     out = present.with_band_rows(

@@ -321,9 +321,10 @@ def coalition_sections(spark, d, wanted, form=COALITION_FORM):
     )
     clean = formula.clean_screens(raw, territories=False)
     keys = coalitions.section_keys(clean, CO_IDS, form)
-    standard = coalitions.standardise({s: clean[s] for s in ("Screen-1", *wanted)}, CO_IDS, names, form)
-    if wanted:
-        standard = {s: stage(df) for s, df in standard.items()}
+    chosen = {s: clean[s] for s in ("Screen-1", *wanted)}
+    standard = coalitions.standardise(chosen, CO_IDS, names, form, stage) if wanted else (
+        coalitions.standardise(chosen, CO_IDS, names, form)
+    )
     expected = coalitions.expected_submissions(spark, form, STATES)
     xw = coalition_crosswalk(spark)
     if "Screen-5" in wanted:

@@ -278,21 +278,18 @@ def type_counts(arp: DataFrame, regions: DataFrame, kind: str, b: ArpBriefing) -
 def coalition_counts(arp: DataFrame, regions: DataFrame, b: ArpBriefing) -> DataFrame:
     """Figure data: coalitions per stream and region, 0 where none, for the streams of each year."""
     counts = type_counts(arp, regions, "Coalition", b)
-    parts = []
+    years_of: dict[tuple[str, ...], list[int]] = {}
     for y in b.years:
-        streams = [STREAM_LABELS[s] for s in b.streams(y)]
-        parts.append((y, streams))
-    axes: dict[tuple[str, ...], list[int]] = {}
-    for y, streams in parts:
-        axes.setdefault(tuple(streams), []).append(y)
-    out = None
-    for streams, years in axes.items():
-        part = coverage.complete(
+        years_of.setdefault(tuple(STREAM_LABELS[s] for s in b.streams(y)), []).append(y)
+    parts = [
+        coverage.complete(
             counts.where(col("year").isin(years)),
-            {"year": years, "stream": list(streams), "HHS Region": list(b.regions)}, {"n": 0},
+            {"year": years, "stream": list(streams), "HHS Region": list(b.regions)},
+            {"n": 0},
         )
-        out = part if out is None else out.unionByName(part)
-    return out
+        for streams, years in years_of.items()
+    ]
+    return present.stack(parts)
 
 
 def served_entities(arp: DataFrame, external: DataFrame, by_stream: bool = True, compat: bool = False) -> DataFrame:

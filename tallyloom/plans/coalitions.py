@@ -40,10 +40,21 @@ def id_columns(cover: DataFrame, form: CoalitionForm, first: int = 1, last: int
     ]
 
 
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def standardise(
-    screens: Mapping[str, DataFrame], ids: Sequence[str], names: DataFrame, form: CoalitionForm
+    screens: Mapping[str, DataFrame],
+    ids: Sequence[str],
+    names: DataFrame,
+    form: CoalitionForm,
+    stage_with: Callable[[DataFrame], DataFrame] = _as_is,
 ) -> dict[str, DataFrame]:
-    """One submission per id on every screen, coalition names from the list, cover columns everywhere."""
+    """One submission per id on every screen, coalition names from the list, cover columns everywhere.
+
+    ``stage_with`` writes the screens; the cover page first, since every other screen reads it.
+    """
     out: dict[str, DataFrame] = {}
     for screen, raw in screens.items():
         df = rename_columns(raw.drop("EIN"), form.renames)
@@ -53,7 +64,9 @@ def standardise(
         df = resolve.resolve_hierarchy(df, list(ids), levels)
         df = joins.lookup_left(df, names, ["State"])
         out[screen] = df.drop(*[c for c in df.columns if "granteename" in c.replace(" ", "").lower()])
-    return joins.enrich_from_cover(out, COVER, exclude=[*forms.ITERATIONS, *form.row_order])
+    out[COVER] = stage_with(out[COVER])
+    enriched = joins.enrich_from_cover(out, COVER, exclude=[*forms.ITERATIONS, *form.row_order])
+    return {s: df if s == COVER else stage_with(df) for s, df in enriched.items()}
 
 
 def section_keys(screens: Mapping[str, DataFrame], ids: Sequence[str], form: CoalitionForm) -> list[str]:
@@ -90,16 +103,24 @@ def narrative_columns(columns: Sequence[str], form: CoalitionForm) -> list[str]:
 
 
 def sections(
-    screens: Mapping[str, DataFrame], keys: Sequence[str], crosswalk: DataFrame, expected: DataFrame, names: DataFrame, form: CoalitionForm
+    screens: Mapping[str, DataFrame],
+    keys: Sequence[str],
+    crosswalk: DataFrame,
+    expected: DataFrame,
+    names: DataFrame,
+    form: CoalitionForm,
+    stage_with: Callable[[DataFrame], DataFrame] = _as_is,
 ) -> dict[str, DataFrame]:
     """All sections; the narrative answers also join the summary of activities."""
     repaired = {
         s: rename_columns(df, forms.ACTIVITY_REPAIRS) if s == ACTIVITIES else df for s, df in screens.items()
     }
-    out = {s: section_table(df, s, keys, crosswalk, expected, names, form) for s, df in repaired.items()}
+    out = {
+        s: stage_with(section_table(df, s, keys, crosswalk, expected, names, form)) for s, df in repaired.items()
+    }
     on = [*keys, "Missing", "CoalitionName"]
     answers = out[NARRATIVE].select(*cols([*on, *narrative_columns(out[NARRATIVE].columns, form)]))
-    out[ACTIVITIES] = joins.lookup_left(out[ACTIVITIES], answers, on, unique=False)
+    out[ACTIVITIES] = stage_with(joins.lookup_left(out[ACTIVITIES], answers, on, unique=False))
     return out
 
 
@@ -135,10 +156,10 @@ def run(
     """The whole job: clean, standardise, complete, reshape, publish one version."""
     ids = list(ids) if ids is not None else id_columns(screens[COVER], form)
     clean = clean_screens({s: screens[s] for s in forms.SECTIONS}, form.row_order, territories=False)
-    standard = {s: stage_with(df) for s, df in standardise(clean, ids, names, form).items()}
+    standard = standardise(clean, ids, names, form, stage_with)
     keys = section_keys(clean, ids, form)
     expected = expected_submissions(names.sparkSession, form, states)
-    done = {s: stage_with(df) for s, df in sections(standard, keys, crosswalk, expected, names, form).items()}
+    done = sections(standard, keys, crosswalk, expected, names, form, stage_with)
     long_ids = long_id_columns(keys)
     tables = {forms.SECTIONS[s]: df for s, df in done.items()}
     tables["Section IV Narr Long Format"] = narrative_long(done[NARRATIVE], long_ids, form)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.html import html_unescape, unescape_columns
-from tallyloom.functions.names import col, cols, prefix_keys
+from tallyloom.functions.names import col, prefix_keys
 from tallyloom.functions.values import binary_category, normalise_id, parse_date, unify_alias
 from tallyloom.operators import coverage, hygiene, joins, resolve, rollup
 from tallyloom.operators.history import merge_history

@@ -19,6 +19,9 @@ CLUSTER = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plans over hundreds of columns are built from as many expressions; recording where in the
+    # Python source each was made takes longer than making it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Whole texts cross to Python; bound a batch by rows as well as by bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
