@@ -113,14 +113,14 @@ def cutoffs(measured: DataFrame, m: str, lang: str, source: str, reach: float, m
 
     own = sketch("lang_key", "source_key").alias("own")
     by_lang = sketch("lang_key").select("n", F.col("lang_key").alias("l"), *[r.name for r in RULES]).alias("by_lang")
-    all_rows = sketch().alias("all_rows")
-    joined = own.join(by_lang, F.col("own.lang_key").eqNullSafe(F.col("by_lang.l"))).join(all_rows, F.lit(True))
+    all_rows = sketch().first()  # one row
+    joined = own.join(by_lang, F.col("own.lang_key").eqNullSafe(F.col("by_lang.l")))
     limits = []
     for r in RULES:
         q = (
             F.when(F.col("own.n") >= min_rows, F.col(f"own.{r.name}"))
             .when(F.col("by_lang.n") >= min_rows, F.col(f"by_lang.{r.name}"))
-            .otherwise(F.col(f"all_rows.{r.name}"))
+            .otherwise(F.array(*[F.lit(x) for x in all_rows[r.name] or (0.0,) * 3]))
         )
         up = F.greatest(q[2] - q[1], F.lit(r.slack)) * reach
         down = F.greatest(q[1] - q[0], F.lit(r.slack)) * reach
