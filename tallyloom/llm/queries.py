@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontaminate, kd_shards, mixing, quality_rules
+from tallyloom.llm import decontaminate, kd_shards, mixing, pu_quality, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op10_pu_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pu_quality.scored(docs, pu_quality.learn(docs, table(spark, sf_dir, "labels")))
