@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontaminate, kd_shards, mixing, pu_quality, quality_rules, toxicity
+from tallyloom.llm import decontaminate, kd_shards, mixing, phrase_dedup, pu_quality, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,30 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pu_quality.scored(docs, pu_quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query(
+    "op9_phrase_automata",
+    """
+    WITH w AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+    ), starts AS (
+        SELECT doc_id, unnest(range(1, len(words) - 48)) AS i, words FROM w WHERE len(words) >= 50
+    ), windows AS (
+        SELECT doc_id, i, sha256(array_to_string(words[i : i + 49], ' ')) AS h FROM starts
+    ), firsts AS (
+        SELECT h, min(doc_id) AS first FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM windows JOIN firsts USING (h) WHERE first < doc_id
+    ), each_word AS (
+        SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w
+    ), kept AS (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+        FROM each_word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+    )
+    SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.repeated(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
