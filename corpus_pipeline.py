@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import kd_shards, mixing, quality_rules
+from tallyloom.llm import decontaminate, kd_shards, mixing, ngram_join, quality_rules
 from tallyloom.sources.staging import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,6 +17,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity of 0.75 or more."""
+    return ngram_join.keep_one(docs, percent=75, width=5)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, as it is or with other numbers and names, go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; a document taken twice has two rows."""
     return mixing.mix(docs)
@@ -29,6 +39,8 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality),
+    ("ngram_join", one_of_each),
+    ("decontamination", decontaminated),
     ("weighted_mix", mixed),
     ("kd_shards", sharded),
 ]

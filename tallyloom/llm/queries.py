@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontaminate, kd_shards, mixing, phrase_dedup, pu_quality, quality_rules, toxicity
+from tallyloom.llm import decontaminate, kd_shards, mixing, ngram_join, phrase_dedup, pu_quality, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_dedup.repeated(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query(
+    "op3_ngram_join",
+    """
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents
+    ), s AS (
+        SELECT DISTINCT doc_id, hash(array_to_string(words[i : i + 4], ' ')) AS h
+        FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+    ), links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b
+        FROM s AS a JOIN s AS b USING (h) JOIN sizes AS x ON x.doc_id = a.doc_id JOIN sizes AS y ON y.doc_id = b.doc_id
+        WHERE a.doc_id != b.doc_id AND 100 * least(x.n, y.n) >= 75 * greatest(x.n, y.n)
+        GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(x.n) + any_value(y.n) - count(*))
+    ), reach(a, b) AS (
+        SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    )
+    SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, coalesce(least(w.doc_id, min(b)), w.doc_id) AS component_id
+    FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_report(table(spark, sf_dir, "documents"))
