@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontaminate, kd_shards, mixing, ngram_join, phrase_dedup, pu_quality, quality_rules, toxicity
+from tallyloom.llm import decontaminate, kd_shards, mixing, ngram_join, phrase_dedup, pu_quality, quality_rules, sanitise, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_report(table(spark, sf_dir, "documents"))
+
+
+@query("op4_disclosure_sanitiser")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.span_report(table(spark, sf_dir, "documents"))
