@@ -63,7 +63,7 @@ def repeated(
     doc_id: str = "doc_id",
     text: str = "text",
     width: int = 50,
-    phrase: int = 10,
+    phrase: int = 25,
     filter_bits: int = 1 << 26,
     shard_bytes: int = 32 << 20,
 ) -> DataFrame:
@@ -107,11 +107,21 @@ def repeated(
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
     shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
-    confirmed = passages.select("id", "phrase", F.explode("windows").alias("window")).join(first, "window").filter("first < id")
+    # Windows that do not recur are left out by a filter before the join, which then moves recurring ones only.
+    recurs = spark.sparkContext.broadcast(Filter.build(first, "window", filter_bits).words)
+
+    def only_recurring(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = Filter(recurs.value)
+        for b in batches:
+            kept = [x[wanted.has(np.ascontiguousarray(x))] for x in b["windows"]]
+            yield b.assign(windows=kept)[[len(x) > 0 for x in kept]]
+
+    near = stage(passages.mapInPandas(only_recurring, "id long, phrase string, windows array<long>"))
+    confirmed = near.select("id", F.explode("windows").alias("window")).join(first, "window").filter("first < id")
     # One table for a shard: windows (kind 0), phrases (1) and documents (2), without nulls, which would make ids floats.
     none, empty = F.lit(0).cast("long"), F.lit("")
     known_windows = confirmed.select(shard, F.lit(0).alias("kind"), F.col("first").alias("id"), "window", empty.alias("text")).distinct()
-    known_phrases = confirmed.select(
+    known_phrases = near.select(
         shard, F.lit(1).alias("kind"), none.alias("id"), none.alias("window"), F.col("phrase").alias("text")
     ).distinct()
     every = docs.select(shard, F.lit(2).alias("kind"), "id", none.alias("window"), "text")
