@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontaminate, kd_shards, mixing, ngram_join, phrase_dedup, pu_quality, quality_rules, sanitise, toxicity
+from tallyloom.llm import decontaminate, kd_shards, mixing, ngram_join, phrase_dedup, pu_quality, quality_rules, sanitise, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_disclosure_sanitiser")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.span_report(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op2_capture_index",
+    """
+    WITH p AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+    ), f AS (
+        SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN first != page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN first != page_id THEN first END AS refers_to
+    FROM f
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(table(spark, sf_dir, "pages"))
