@@ -19,9 +19,23 @@ def normalise_id(spark, d):
     return table(spark, d, "customer").select("c_custkey", V.normalise_id(raw).alias("id"))
 
 
-@query("html_unescape")
+# The entities that the pages hold; a test sees to it that there are no others.
+PAGE_ENTITIES = {"&middot;": "\u00b7", "&copy;": "\u00a9", "&quot;": '"', "&lt;": "<", "&gt;": ">", "&nbsp;": "\u00a0", "&#39;": "''", "&amp;": "&"}
+_DECODED = "html"
+for _entity, _char in PAGE_ENTITIES.items():
+    _DECODED = f"replace({_DECODED}, '{_entity}', '{_char}')"
+
+
+@query(
+    "html_unescape",
+    f"""SELECT page_id, url, {_DECODED} AS html, chr(65 + CAST(page_id % 26 AS INT)) || '<' AS numeric FROM pages""",
+)
 def html_unescape_pages(spark, d):
-    return table(spark, d, "pages").select("page_id", "url", html_unescape(F.col("html")).alias("html"))
+    code = (F.col("page_id") % 26 + 65).cast("string")
+    numeric = F.concat(F.lit("&#"), code, F.lit(";&#x3C;"))
+    return table(spark, d, "pages").select(
+        "page_id", "url", html_unescape(F.col("html")).alias("html"), html_unescape(numeric).alias("numeric")
+    )
 
 
 @query(

@@ -243,17 +243,17 @@ def align_key_types(spark, d):
     """,
 )
 def complete_grid(spark, d):
+    """Counts of large orders per year; all others are a row outside the declared years."""
     nations = joins.null_safe_join(
         table(spark, d, "nation"), table(spark, d, "region"), [("n_regionkey", "r_regionkey")]
     ).select("n_nationkey", "r_name")
-    """Counts of large orders per year; all others are a row outside the declared years."""
     o = orders_with_nation(spark, d).withColumn("yr", F.when(F.col("o_totalprice") > 495000, F.col("yr")).otherwise(0))
     counts = (
         joins.lookup_left(o, nations, [("nationkey", "n_nationkey")])
         .groupBy("r_name", "o_orderpriority", "yr").agg(F.count(F.lit(1)).alias("n"))
     )
     axes = {"r_name": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MARS"], "o_orderpriority": PRIORITIES, "yr": YEARS}
-    return coverage.complete(counts, axes, {"n": 0})
+    return coverage.complete(counts, axes, {"n": 0}, unique=True)
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyloom.bindings.domain import FACTS, YEARS, derived
@@ -9,8 +11,8 @@ from tallyloom.bindings.registry import doubles, query
 from tallyloom.operators.present import with_constants
 from tallyloom.plans import analysis_set, coalitions, formula, forms
 from tallyloom.plans.forms import AMOUNT, CITY, NAME, SERVED, TYPE_RAW
-from tallyloom.sources.staging import stage
-from tallyloom.sources.tables import literal_table
+from tallyloom.sources.staging import stage, staging_folder
+from tallyloom.sources.tables import literal_table, overwrite_periods
 
 ORDERS = "orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"
 KEYS = """
@@ -195,6 +197,40 @@ def states_long_history(spark, d):
     return formula.merge_long_history(history, long, clean["Screen-1"])
 
 
+def _stored(spark, d, by_program):
+    """The history as it is stored: an extract whose last year was returned whole replaces what was there."""
+    clean, _, long = long_rows(spark, d)
+    columns = [*forms.OUT_IDS, "Element", "Value"]
+    long = stage(long.select(*columns))
+    path = f"{staging_folder(spark)}/history-{uuid.uuid4().hex}"
+    shifted = long.withColumns({"Year": F.col("Year") - 3, "Value": F.lit("old")})
+    returned = long.filter(F.col("Year") == YEARS[-1]).withColumns({"Year": F.col("Year") + 1, "Value": F.lit("stale")})
+    overwrite_periods(shifted.unionByName(returned), path, "Year")
+    cover = clean["Screen-1"].select("Fy").distinct().unionByName(spark.range(1).select(F.lit(YEARS[-1] + 1).cast("int").alias("Fy")))
+    formula.store_history(long, cover, path, by_program)
+    return spark.read.parquet(path).select(*columns)
+
+
+@query(
+    "states_history_stored",
+    CLEAN + f"""SELECT {IDS}, element AS "Element", v AS "Value" FROM elements
+    UNION ALL SELECT kind, fy - 3, program, postal, ein, element, 'old' FROM elements WHERE fy - 3 < {YEARS[0]}""",
+)
+def states_history_stored(spark, d):
+    return _stored(spark, d, by_program=True)
+
+
+@query(
+    "states_history_merged_programs",
+    CLEAN + """SELECT kind AS "Grant Type", postal AS "State", fy AS "Year", ein AS "EIN", element AS "Element", max(v) AS "Value"
+      FROM elements GROUP BY ALL""",
+)
+def states_history_merged_programs(spark, d):
+    clean, _, long = long_rows(spark, d)
+    out = formula.merge_long_history(None, long, clean["Screen-1"], by_program=False)
+    return out.select("Grant Type", "State", "Year", "EIN", "Element", "Value")
+
+
 def _client_total(parts: list[str]) -> str:
     return f"""nullif({" + ".join(f"coalesce(CAST({p} AS DOUBLE), 0)" for p in parts)}, 0)"""
 
@@ -340,8 +376,8 @@ def coalition_sections(spark, d, wanted, form=COALITION_FORM):
       unnest({list(YEARS)}) AS b(y), unnest(['Core FVPSA', 'ARP Act']) AS c(p)""",
 )
 def coalition_expected(spark, d):
-    grid = coalitions.expected_submissions(spark, COALITION_FORM, STATES)
-    return grid.join(derived(spark, d, "", "SELECT n_name AS State FROM nation", {}), "State", "left_semi")
+    states = derived(spark, d, "", "SELECT n_name AS State FROM nation", {})
+    return coalitions.expected_submissions(spark, COALITION_FORM, states)
 
 
 @query(

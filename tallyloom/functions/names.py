@@ -59,3 +59,8 @@ def shared_keys(a: DataFrame, b: DataFrame, exclude: Sequence[str] = ()) -> list
     """Columns both frames have, in the order of ``a``, without ``exclude``."""
     other = set(b.columns)
     return [c for c in a.columns if c in other and c not in exclude]
+
+
+def present(columns: Sequence[str], names: Sequence[str]) -> list[str]:
+    """The names that are among the columns, in their own order."""
+    return [n for n in names if n in columns]

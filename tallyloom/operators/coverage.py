@@ -1,7 +1,7 @@
 """What was expected against what came: grids, missing members, contingency tables.
 
-Grids are built by exploding axis values, never by a cross join. Observed axes travel as one
-row of arrays whose length is checked.
+Declared axes are exploded. Observed axes stay rows: they are dealt into buckets, and the other
+side meets every bucket, so that no task and no array holds an axis.
 """
 
 from __future__ import annotations
@@ -12,41 +12,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.names import col, cols
-from tallyloom.functions.values import check
 from tallyloom.operators.joins import drop_ids, key_pairs, lookup_left, null_safe_join
 
-MAX_AXIS = 10_000  # as Spark's own bound on the values of a pivot
 
+def every_pair(base: DataFrame, axis: DataFrame) -> DataFrame:
+    """Every row of ``base`` with every row of ``axis``, by an equality join on the axis's bucket."""
+    buckets = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = base.withColumn("__bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    right = axis.withColumn("__bucket", F.pmod(F.xxhash64(*cols(axis.columns)), F.lit(buckets)).cast("int"))
+    return left.join(right, "__bucket").drop("__bucket")
 
-def observed_axes(df: DataFrame, columns: Sequence[str], max_values: int = MAX_AXIS) -> DataFrame:
-    """One row holding the sorted distinct values of each column; too long an axis fails the job.
 
-    Values are folded map-side, so what moves is distinct values only.
-    """
-    folded = df.agg(*[F.sort_array(F.collect_set(col(c))).alias(c) for c in columns])
-    sizes = F.greatest(*[F.size(col(c)) for c in columns], F.lit(0))
-    return folded.where(check(sizes <= max_values, f"an axis of {list(columns)} has over {max_values} values"))
-
-
-def expand_grid(base: DataFrame, axes: Mapping[str, Sequence] | Sequence[str]) -> DataFrame:
-    """Every row of ``base`` for every combination of the axes.
-
-    Axes are declared values by name, or names of array columns of ``base`` to unfold.
-    """
+def expand_grid(base: DataFrame, axes: Mapping[str, Sequence]) -> DataFrame:
+    """Every row of ``base`` for every combination of declared values, by axis."""
     out = base
-    if isinstance(axes, Mapping):
-        for name, values in axes.items():
-            out = out.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
-        return out
-    for name in axes:
-        out = out.select(*[F.explode(col(c)).alias(c) if c == name else col(c) for c in out.columns])
+    for name, values in axes.items():
+        out = out.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
     return out
 
 
-def expand_observed(base: DataFrame, source: DataFrame, column: str, max_values: int = MAX_AXIS) -> DataFrame:
+def expand_observed(base: DataFrame, source: DataFrame, column: str) -> DataFrame:
     """Every row of ``base`` for every value of ``column`` seen in ``source``."""
-    values = observed_axes(source.select(col(column)).distinct(), [column], max_values).select(col(column))
-    return base.withColumn(column, F.explode(values.scalar()))
+    return every_pair(base, source.select(col(column)).distinct())
 
 
 def complete_against(
@@ -91,9 +78,13 @@ def missing_members(
 
 
 def complete(
-    df: DataFrame, axes: Mapping[str, Sequence], fill: Mapping[str, object]
+    df: DataFrame, axes: Mapping[str, Sequence], fill: Mapping[str, object], unique: bool = False
 ) -> DataFrame:
-    """Add the missing combinations of declared axes; rows outside the axes stay. Nulls are filled."""
+    """Add the missing combinations of declared axes; rows outside the axes stay. Nulls are filled.
+
+    ``unique`` says that ``df`` has at most one row per combination, as counts do: the grid is then stacked
+    under it and both are folded once, and the input is computed once.
+    """
     names = list(axes)
     first, *others = names
     spark = df.sparkSession
@@ -103,21 +94,29 @@ def complete(
     )
     grid = expand_grid(base, {n: axes[n] for n in others}) if others else base
     grid = grid.select(*[col(n).cast(types[n]).alias(n) for n in names])
-    missing = drop_ids(grid, df.select(*cols(names)).distinct(), names)
-    out = df.unionByName(missing, allowMissingColumns=True)
+    if unique:
+        rest = [c for c in df.columns if c not in names]
+        stacked = df.withColumn("__own", F.struct(*cols(rest))).select(*cols(names), "__own").unionByName(
+            grid, allowMissingColumns=True
+        )
+        folded = stacked.groupBy(*cols(names)).agg(F.any_value("__own", ignoreNulls=True).alias("__own"))
+        out = folded.select(*[F.col("__own").getField(c).alias(c) if c in rest else col(c) for c in df.columns])
+    else:
+        missing = drop_ids(grid, df.select(*cols(names)).distinct(), names)
+        out = df.unionByName(missing, allowMissingColumns=True)
     return out.withColumns({c: F.coalesce(col(c), F.lit(v).cast(types[c])) for c, v in fill.items()})
 
 
-def contingency(
-    df: DataFrame, axes: Sequence[str], alias: str = "count", max_values: int = MAX_AXIS
-) -> DataFrame:
+def contingency(df: DataFrame, axes: Sequence[str], alias: str = "count") -> DataFrame:
     """Counts over the full product of the observed values, 0 where nothing was seen.
 
     Rows with a null axis are not counted. Axes are taken from the folded counts, not from
     the rows.
     """
     counts = df.na.drop("any", subset=list(axes)).groupBy(*cols(axes)).agg(F.count(F.lit(1)).alias(alias))
-    grid = expand_grid(observed_axes(counts, axes, max_values), list(axes))
+    grid = counts.select(col(axes[0])).distinct()
+    for name in axes[1:]:
+        grid = expand_observed(grid, counts, name)
     return lookup_left(grid, counts, axes, unique=False).withColumn(
         alias, F.coalesce(col(alias), F.lit(0))
     )

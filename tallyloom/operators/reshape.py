@@ -31,27 +31,41 @@ def to_long(
     return text.unpivot(cols(ids), cols(chosen), variable, value)
 
 
-def matching_rows(xw: DataFrame, name: str, columns: Sequence[str], fold: bool = False) -> list:
-    """Crosswalk rows about the given columns, on the driver.
+def _about(xw: DataFrame, name: str, columns: Sequence[str], fold: bool) -> DataFrame:
+    """Crosswalk rows about the given columns, with the ``__name`` they are known by."""
+    key = F.upper(col(name)) if fold else col(name)
+    return xw.withColumn("__name", key).where(F.col("__name").isin([c.upper() for c in columns] if fold else list(columns)))
+
+
+def matching_values(xw: DataFrame, name: str, columns: Sequence[str], value: str, fold: bool = False) -> list:
+    """The distinct values the crosswalk has for the given columns, sorted; they name columns of the output."""
+    rows = _about(xw, name, columns, fold).where(col(value).isNotNull()).select(col(value).alias("v")).distinct().collect()
+    return sorted(r.v for r in rows)
 
-    What comes back is bounded by the width of a table, not by its rows; a crosswalk with more
-    entries than that for the same columns is an error.
+
+def matching_labels(
+    xw: DataFrame, name: str, columns: Sequence[str], label: str, fold: bool = False, order_by: Sequence[str] = ()
+) -> dict[str, str]:
+    """One label per known column, so as many as the table is wide: the last in ``order_by``.
+
+    Without an order, entries that give one column different labels are an error.
     """
-    key = F.upper(col(name)) if fold else col(name)
-    wanted = [c.upper() for c in columns] if fold else list(columns)
-    limit = 10 * len(wanted) + 10
-    rows = xw.where(key.isin(wanted)).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"crosswalk has more than {limit} entries for {len(wanted)} columns")
-    return rows
+    found = _about(xw, name, columns, fold).where(col(label).isNotNull()).groupBy("__name")
+    if order_by:
+        rows = found.agg(F.max_by(col(label), F.struct(*cols(order_by))).alias("last"), F.lit(1).alias("n")).collect()
+    else:
+        rows = found.agg(F.max(col(label)).alias("last"), F.count_distinct(col(label)).alias("n")).collect()
+    doubled = sorted(r["__name"] for r in rows if r.n > 1)
+    if doubled:
+        raise ValueError(f"different labels for {doubled}; give the crosswalk an order")
+    return {r["__name"]: r["last"] for r in rows}
 
 
 def rename_by_crosswalk(
-    df: DataFrame, xw: DataFrame, raw: str = "Meta Name Description", label: str = "Label"
+    df: DataFrame, xw: DataFrame, raw: str = "Meta Name Description", label: str = "Label", order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Rename the columns the crosswalk knows; leave the others."""
-    mapping = {r[raw]: r[label] for r in matching_rows(xw, raw, df.columns) if r[label] is not None}
-    return rename_columns(df, mapping)
+    """Rename the columns the crosswalk knows; leave the others. Doubled names take the last in ``order_by``."""
+    return rename_columns(df, matching_labels(xw, raw, df.columns, label, order_by=order_by))
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -88,7 +102,7 @@ def crosswalk_long(
     case. Rows without an element are dropped; a name listed twice gives a row per entry.
     """
     candidates = [c for c in df.columns if c not in ids]
-    known = {r[name].upper() for r in matching_rows(xw.select(col(name)), name, candidates, fold=True)}
+    known = {n.upper() for n in matching_values(xw, name, candidates, name, fold=True)}
     own = {e.upper() for e in extra}
     chosen = [c for c in candidates if c.upper() in known or c.upper() in own]
     long = to_long(df, ids, chosen, "variable", value).withColumn("variable", F.upper("variable"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.names import col
+from tallyloom.functions.names import col, present
 from tallyloom.functions.values import join_labels, parse_date, recode
 from tallyloom.operators import joins, resolve, rollup
 from tallyloom.operators.reshape import cast_columns, rename_columns
@@ -68,13 +68,13 @@ def publish_analysis_set(
     return publish(tables, root, "data_for_R", version, ", ".join(sources))
 
 
-def latest_record(screen: DataFrame, row_order: Sequence[str] = ("row_ix",)) -> DataFrame:
+def latest_record(screen: DataFrame, row_order: Sequence[str] = forms.ROW_ORDER) -> DataFrame:
     """The row with the latest submit date per year, grantee and program."""
     day = col("SubmitDate")
     if dict(screen.dtypes)["SubmitDate"] == "string":
         day = parse_date(day)
     return resolve.top_n_per_group(
-        screen, ["Fy", "RptEin", "ProgAcronym"], [day.desc_nulls_last(), *[col(o) for o in row_order]], 1
+        screen, ["Fy", "RptEin", "ProgAcronym"], [day.desc_nulls_last(), *[col(o) for o in present(screen.columns, row_order)]], 1
     )
 
 
@@ -84,7 +84,7 @@ COALITION_TABLES = {
 
 
 def coalition_set(
-    screens: Mapping[str, DataFrame], priority_areas: DataFrame, suffix: str = "", row_order: Sequence[str] = ("row_ix",)
+    screens: Mapping[str, DataFrame], priority_areas: DataFrame, suffix: str = "", row_order: Sequence[str] = forms.ROW_ORDER
 ) -> dict[str, DataFrame]:
     """Latest records of four screens and the priority areas, for one form year."""
     out = {n + suffix: latest_record(screens[s], row_order) for n, s in COALITION_TABLES.items()}

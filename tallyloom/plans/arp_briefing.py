@@ -286,6 +286,7 @@ def coalition_counts(arp: DataFrame, regions: DataFrame, b: ArpBriefing) -> Data
             counts.where(col("year").isin(years)),
             {"year": years, "stream": list(streams), "HHS Region": list(b.regions)},
             {"n": 0},
+            unique=True,
         )
         for streams, years in years_of.items()
     ]
@@ -336,7 +337,7 @@ def served_by_region(served: DataFrame, regions: DataFrame, b: ArpBriefing) -> D
     inside = counts.where(
         col("year").isin(axes["year"]) & col("stream").isin(axes["stream"]) & col("HHS Region").isin(axes["HHS Region"])
     )
-    return coverage.complete(inside, axes, {"n": 0})
+    return coverage.complete(inside, axes, {"n": 0}, unique=True)
 
 
 def submission_matrix(

@@ -6,8 +6,9 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tallyloom.functions.names import col, cols, names_like
+from tallyloom.functions.names import col, cols, names_like, present
 from tallyloom.functions.values import parse_date, recode
 from tallyloom.operators import coverage, hygiene, joins, resolve
 from tallyloom.operators.reshape import (
@@ -25,10 +26,13 @@ COVER, NARRATIVE, ACTIVITIES = "Screen-1", "Screen-4", "Screen-5"
 
 
 def expected_submissions(
-    spark, form: CoalitionForm, states: Sequence[str] = forms.COALITION_STATES
+    spark, form: CoalitionForm, states: Sequence[str] | DataFrame = forms.COALITION_STATES
 ) -> DataFrame:
-    """Every state with every (year, program) pair of the form."""
+    """Every state with every (year, program) pair of the form. ``states``: declared, or a table with ``State``."""
     periods = literal_table(spark, {"Year": "string", "Program Abbr": "string"}, form.periods)
+    if isinstance(states, DataFrame):
+        pair = F.array(*[F.struct(F.lit(y).alias("Year"), F.lit(p).alias("Program Abbr")) for y, p in form.periods])
+        return states.select(col("State")).distinct().select("State", F.inline(pair))
     return coverage.expand_grid(periods, {"State": list(states)}).select("State", "Year", "Program Abbr")
 
 
@@ -92,7 +96,7 @@ def section_table(
     df = df.withColumns(
         {"Program Abbr": recode(col("Program Abbr"), forms.COALITION_PROGRAMS), "Year": col("Year").cast("string")}
     )
-    one = resolve.distinct_on(df, [k for k in keys if k in df.columns], list(form.row_order))
+    one = resolve.distinct_on(df, [k for k in keys if k in df.columns], present(df.columns, form.row_order))
     found = coverage.complete_against(one.drop("CoalitionName"), expected, GRID)
     return joins.lookup_left(found, names, ["State"])
 

@@ -82,6 +82,10 @@ _H03 = (
 )
 
 
+#: The place of a row in its extract: file, then row. What a table lacks of it is left out.
+ROW_ORDER = ("source_path", "row_ix")
+
+
 @dataclass(frozen=True)
 class StateForm:
     """A form year of states and tribes."""
@@ -91,7 +95,7 @@ class StateForm:
     repairs: Mapping[str, list[str]] = field(default_factory=dict)
     question_names: Mapping[str, str] = field(default_factory=dict)
     name_floor: int = 2018
-    row_order: tuple[str, ...] = ("row_ix",)
+    row_order: tuple[str, ...] = ROW_ORDER
 
 
 STATES_V6 = StateForm(repairs={_H02: [_H03]})
@@ -136,7 +140,7 @@ class CoalitionForm:
     questions: int
     first_year: str = ""
     last_year: str = "9999"
-    row_order: tuple[str, ...] = ("row_ix",)
+    row_order: tuple[str, ...] = ROW_ORDER
     pairs: tuple[tuple[str, str], ...] = tuple(COALITION_PERIODS)
 
     @property

@@ -11,24 +11,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.html import html_unescape, unescape_columns
-from tallyloom.functions.names import col, prefix_keys
+from tallyloom.functions.names import col, prefix_keys, present
 from tallyloom.functions.values import binary_category, normalise_id, parse_date, unify_alias
 from tallyloom.operators import coverage, hygiene, joins, resolve, rollup
 from tallyloom.operators.history import merge_history
 from tallyloom.operators.reshape import (
-    crosswalk_long, matching_rows, pivot_strict, rename_by_substring, rename_columns, survey_families, unpivot_families,
+    crosswalk_long, matching_labels, matching_values, pivot_strict, rename_by_substring, rename_columns, survey_families, unpivot_families,
 )
 from tallyloom.plans import forms
 from tallyloom.plans.forms import StateForm
 from tallyloom.sources.publish import publish
 from tallyloom.sources.staging import stage
-from tallyloom.sources.tables import overwrite_periods
+from tallyloom.sources.tables import drop_periods, overwrite_periods
 
 NAME_ALIASES = ["GRANTEE NAME", "GRANTEE_NAME", "GRANTEENAME"]  # fixed values
 
 
 def clean_screens(
-    screens: Mapping[str, DataFrame], row_order: Sequence[str] = ("row_ix",), territories: bool = True
+    screens: Mapping[str, DataFrame], row_order: Sequence[str] = forms.ROW_ORDER, territories: bool = True
 ) -> dict[str, DataFrame]:
     """Sentinels to null, one grantee name per id, trimmed text; territories count as states."""
     out = {}
@@ -37,7 +37,7 @@ def clean_screens(
             df = hygiene.recode_columns(df, {"GranteeTypeTxt": {"Territory": "State"}})
         out[name] = hygiene.clean_strings(df, trim=False)
     named = rollup.canonicalise(
-        {**out, "__cover": screens["Screen-1"]}, "RptEin", "GranteeName", "__cover", list(row_order)
+        {**out, "__cover": screens["Screen-1"]}, "RptEin", "GranteeName", "__cover", present(screens["Screen-1"].columns, row_order)
     )
     return {n: hygiene.clean_strings(named[n], sentinels=()) for n in screens}
 
@@ -86,15 +86,14 @@ def service_outcomes(resolved: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Survey type by measure, one row per submission and survey type."""
     name, label = "Meta Name Description", "Label"
     chosen = crosswalk.where(col("Group_Description") == "Service Outcome").select(col(name), col(label))
-    rows = matching_rows(chosen, name, resolved.columns, fold=True)
-    labels = {r[name].upper(): r[label] for r in rows}
+    labels = matching_labels(chosen, name, resolved.columns, label, fold=True)
     columns = [c for c in resolved.columns if c.upper() in labels]
     families = survey_families(columns, labels, forms.OUTCOME_FAMILIES, forms.SURVEY_TYPES, "Total")
     return rename_columns(unpivot_families(resolved, forms.ID_COLUMNS, families, "Survey Type"), forms.ID_NAMES)
 
 
 def subaward_rows(
-    screen: DataFrame, categories: DataFrame, resolved: DataFrame, row_order: Sequence[str] = ("row_ix",)
+    screen: DataFrame, categories: DataFrame, resolved: DataFrame, row_order: Sequence[str] = forms.ROW_ORDER
 ) -> DataFrame:
     """Sub-awards of the resolved state submissions, with their population categories.
 
@@ -103,7 +102,7 @@ def subaward_rows(
     kept_ids = resolved.where(col("GranteeTypeTxt") == "State").select(col("Rpt-Receipt-Id"))
     kept = unescape_columns(joins.keep_ids(screen, kept_ids, ["Rpt-Receipt-Id"]))
     renamed = rename_columns(kept, forms.SUBAWARD_RENAMES)
-    order = [o for o in row_order if o in categories.columns]
+    order = present(categories.columns, row_order)
     dim = resolve.distinct_on(categories, ["SubAwdCultSpecf"], order or [c for c in categories.columns if c != "SubAwdCultSpecf"])
     out = joins.lookup_left(
         renamed, dim.drop(*order).withColumn("__served", col("SubAwdCultSpecf")), [(forms.SERVED, "__served")]
@@ -159,7 +158,7 @@ def wide_table(
     absent = {c: F.lit(None).cast("double") for c in counted if c not in wide.columns}
     numeric = {c: col(c).try_cast("double") for c in counted if c in wide.columns}
     wide = rollup.paired_totals(wide.withColumns({**absent, **numeric}), forms.CLIENT_GROUPS, forms.CLIENT_PREFIXES)
-    names = rollup.latest_attribute(resolved, "EIN", "Fy", "GranteeName", form.row_order, form.name_floor)
+    names = rollup.latest_attribute(resolved, "EIN", "Fy", "GranteeName", present(resolved.columns, form.row_order), form.name_floor)
     names = names.select(col("EIN"), html_unescape(col("GranteeName")).alias("Grantee Name"))
     return joins.null_safe_join(wide, names, ["EIN"], "left")
 
@@ -193,6 +192,7 @@ def run(
     version: str,
     description: str,
     history_path: str | None = None,
+    by_program: bool = True,
     roster: Sequence[str] = forms.STATE_ROSTER,
     stage_with: Callable[[DataFrame], DataFrame] = stage,
 ) -> dict[str, str]:
@@ -211,9 +211,9 @@ def run(
     )
     wanted = [f.name for f in resolved.schema.fields] + [forms.SHELTER_TOTAL, forms.NONSHELTER_TOTAL]
     wanted += list(form.question_names.values())
-    elements = [r["Element"] for r in matching_rows(lookups["lookup"], "Meta Name Description", wanted, fold=True) if r["Element"]]
+    elements = matching_values(lookups["lookup"], "Meta Name Description", wanted, "Element", fold=True)
     elements += [forms.SHELTER_TOTAL, forms.NONSHELTER_TOTAL]
-    labels = sorted({r["Label"] for r in matching_rows(xw, "Element", elements, fold=True) if r["Label"]})
+    labels = matching_values(xw, "Element", elements, "Label", fold=True)
     wide = stage_with(wide_table(long, xw, resolved, labels, form))
     tables = {
         "OriginalFormat": resolved,
@@ -227,7 +227,18 @@ def run(
     }
     paths = publish(tables, root, "states_tribes", version, description)
     if history_path:
-        fresh = merge_long_history(None, long, clean["Screen-1"])
-        overwrite_periods(fresh, history_path, "Year")
+        store_history(long, clean["Screen-1"], history_path, by_program)
         paths["History"] = history_path
     return paths
+
+
+def store_history(long: DataFrame, cover: DataFrame, path: str, by_program: bool = True) -> None:
+    """Replace the years of the raw extract in the stored history; years none of whose rows were kept become empty.
+
+    The years of an extract, a handful, come to the driver.
+    """
+    fresh = merge_long_history(None, long, cover, by_program)
+    years = cover.select(col("Fy").alias("Year")).distinct()
+    gone = joins.drop_ids(years, fresh.select("Year").distinct(), ["Year"])
+    overwrite_periods(fresh, path, "Year")
+    drop_periods(long.sparkSession, path, "Year", [r.Year for r in gone.collect()])

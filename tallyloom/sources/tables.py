@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +18,18 @@ def read_table(
     fmt: str = "parquet",
     schema: str | None = None,
     overrides: Mapping[str, str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """One table; ``overrides`` casts named columns (ZIP codes to text, for one).
 
-    CSV is read as text when no schema is given, so nothing is inferred from the data.
+    CSV is read as text when no schema is given, so nothing is inferred from the data. ``multi_line`` is for CSV
+    with line breaks and doubled quotes inside quoted answers; such a file is then read by one task.
     """
     reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.csv(path, header=True, enforceSchema=False) if fmt == "csv" else reader.format(fmt).load(path)
+    if fmt == "csv":
+        df = reader.csv(path, header=True, enforceSchema=False, multiLine=multi_line, escape='"' if multi_line else None)
+    else:
+        df = reader.format(fmt).load(path)
     wanted = {c: t for c, t in (overrides or {}).items() if c in df.columns}
     return df.withColumns({c: col(c).cast(t) for c, t in wanted.items()}) if wanted else df
 
@@ -36,9 +41,10 @@ def read_table_set(
     fmt: str = "parquet",
     overrides: Mapping[str, str] | None = None,
     suffix: str = "",
+    multi_line: bool = False,
 ) -> dict[str, DataFrame]:
     """All screens of a submission: ``<root>/<name><suffix>`` each."""
-    return {n: read_table(spark, f"{root}/{n}{suffix}", fmt, overrides=overrides) for n in names}
+    return {n: read_table(spark, f"{root}/{n}{suffix}", fmt, overrides=overrides, multi_line=multi_line) for n in names}
 
 
 def with_row_order(df: DataFrame) -> DataFrame:
@@ -126,42 +132,11 @@ def overwrite_periods(df: DataFrame, path: str, period: str) -> None:
     )
 
 
-def literal_table(spark: SparkSession, columns: Mapping[str, str], rows: Sequence[Sequence]) -> DataFrame:
-    """A small table of fixed rows, planned with its true size so that joins can broadcast it."""
-    structs = [
-        F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(columns.items(), row, strict=True)]) for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
-def safe_name(name: str) -> str:
-    """Directory name of a table: letters, digits and underscores."""
-    return re.sub(r"[^A-Za-z0-9]+", "_", name).strip("_").lower()
-
-
-def write_table_set(
-    tables: Mapping[str, DataFrame],
-    root: str,
-    mode: str = "errorifexists",
-    partition_by: Mapping[str, Sequence[str]] | None = None,
-) -> dict[str, str]:
-    """Write each table to its own directory under ``root``; returns name -> path."""
-    paths = {n: f"{root}/{safe_name(n)}" for n in tables}
-    if len(set(paths.values())) != len(paths):
-        raise ValueError("two table names share a directory")
-    for name, df in tables.items():
-        writer = df.write.mode(mode)
-        by = (partition_by or {}).get(name)
-        (writer.partitionBy(*by) if by else writer).parquet(paths[name])
-    return paths
-
-
-def overwrite_periods(df: DataFrame, path: str, period: str) -> None:
-    """Replace only the periods present in ``df`` in a history stored by period."""
-    (
-        df.repartition(col(period), F.pmod(F.xxhash64(*[col(c) for c in df.columns if c != period]), F.lit(64)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(period)
-        .parquet(path)
-    )
+def drop_periods(spark: SparkSession, path: str, period: str, values: Iterable) -> None:
+    """Empty whole periods of a history stored by period; absent ones are no error."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for v in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if v is None else escape(str(v))
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{escape(period)}={name}")
+        folder.getFileSystem(conf).delete(folder, True)

@@ -33,5 +33,17 @@ def test_pages_decode_as_python_does(spark):
     assert got == {k: html.unescape(v) for k, v in raw.items()}
 
 
-def test_only_queries_without_sql_lack_it():
-    assert set(QUERIES) - set(ORACLES) == {"html_unescape"}
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_pages_hold_known_entities_only(sf):
+    import re
+
+    from tallyloom.bindings.cleaning import PAGE_ENTITIES
+
+    path = f"{os.path.dirname(SF)}/{sf}"
+    if os.path.isdir(path):
+        pages = [r[0] or "" for r in connect(path).execute("SELECT html FROM pages").fetchall()]
+        assert {e for p in pages for e in re.findall(r"&#?\w+;", p)} <= set(PAGE_ENTITIES)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)

@@ -1,5 +1,6 @@
 """Plans stay what they should be: no cross joins, cut groups before the shuffle, pruned scans."""
 
+import inspect
 import os
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.bindings import load
 from tallyloom.operators import coverage, joins, resolve, rollup
+from tallyloom.sources import tables
 
 SF = os.environ.get("PLAN_SF_DIR", "/root/testdata/sf0.001")
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -56,10 +58,18 @@ def test_grids_need_no_cross_join(spark):
                 coverage.complete(df, {"a": [0], "b": [0, 1]}, {})):
         text = plan(out)
         assert "NestedLoop" not in text and "Cartesian" not in text
+        assert "SinglePartition" not in text
+
+
+def test_periods_are_rebalanced_when_stored(spark):
+    df = spark.range(10).select(F.col("id"), (F.col("id") % 2).alias("y"))
+    assert "REBALANCE" in plan(df.hint("rebalance", F.col("y")))
+    assert inspect.getsource(tables).count("def overwrite_periods") == 1
+    assert 'hint("rebalance"' in inspect.getsource(tables.overwrite_periods)
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(n for n in load()[0] if not n.startswith(("states_", "coalition_"))))
+@pytest.mark.parametrize("name", sorted(load()[0]))
 def test_no_query_has_a_cross_join(spark, name):
     text = plan(load()[0][name](spark, SF))
     assert "NestedLoop" not in text and "CartesianProduct" not in text

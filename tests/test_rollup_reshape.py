@@ -144,8 +144,24 @@ def test_coverage(spark, rows):
     assert rows(coverage.complete(counts, {"s": ["a", "b"], "y": [1]}, {"n": 0})) == [("a", 1, 2), ("b", 1, 0), ("q", 1, 1)]
     assert rows(coverage.contingency(df, ["s", "v"])) == sorted(
         [(s, v, int((s, v) in {("a", "x"), ("a", "y"), ("q", "z")})) for s in "aq" for v in "xyz"])
-    with pytest.raises(Exception, match="axis"):
-        coverage.observed_axes(df, ["v"], max_values=2).collect()
+    assert rows(coverage.complete(counts, {"s": ["a", "b"], "y": [1]}, {"n": 0}, unique=True)) == [("a", 1, 2), ("b", 1, 0), ("q", 1, 1)]
+
+
+def test_long_axes(spark):
+    df = spark.range(10_001).select(F.col("id").alias("v"), (F.col("id") % 2).alias("s"))
+    got = coverage.contingency(df, ["v", "s"])
+    assert got.agg(F.count(F.lit(1)), F.sum("count")).first() == (20_002, 10_001)
+    assert coverage.missing_members(df, spark.range(3).toDF("s"), "v", "s").count() == 2 * 10_001
+
+
+def test_crosswalk_with_many_entries(spark, rows):
+    df = spark.createDataFrame([(1, "x")], "id int, a string")
+    many = spark.createDataFrame([("A", f"e{i}", i) for i in range(25)], "`Meta Name Description` string, Element string, n int")
+    assert reshape.crosswalk_long(df, ["id"], many).count() == 25
+    named = many.withColumnsRenamed({"Element": "Label"}).withColumn("Meta Name Description", F.lit("a"))
+    assert reshape.rename_by_crosswalk(df, named, order_by=["n"]).columns == ["id", "e24"]
+    with pytest.raises(ValueError, match="different labels"):
+        reshape.rename_by_crosswalk(df, named)
 
 
 def test_presentation(spark, rows):
