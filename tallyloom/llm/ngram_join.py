@@ -1,17 +1,18 @@
 """Similarity join of documents on word shingles, by T-occurrence search over divided inverted lists.
 
 Two documents of sizes a and b are similar at ``percent`` p if they share at least T = p / (100 + p) * (a + b)
-shingles. As in DivideSkip, each document's shingles are divided: rare ones come first and give the short
-lists, frequent ones last. A document is listed under its first n - ceil(p * n / 100) + 1 shingles only, which
-every similar pair must have one of in common. Short lists are merged: sorted by shingle, documents that meet
-are counted. A pair whose count cannot reach T with all that is left is dropped; the long lists of the rest are
-never merged but probed, by binary search of one document's sorted shingles in the other's.
+shingles. Each document's shingles are put in one order, rare ones first, and it is listed under its first
+n - ceil(p * n / 100) + 1 only, of which every similar pair has one in common. Which shingles are frequent is told
+by a filter of fixed size; it decides the order only, and any order is exact.
 
-Which shingles are frequent is told by a filter of fixed size. It decides the order only; any order is exact.
+Documents that meet in short lists are counted pair by pair; pairs that cannot reach T with all that is left are
+dropped, and the others probed by binary search. Long lists are searched in groups, by DivideSkip: for each
+document, its longest lists are set aside and the others merged; documents that occur often enough are probed in
+the long lists, until they reach T or cannot any more. A group holds the lists with one head, so a family of
+copies is searched once, and not once per list; groups beyond ``block`` shingles are cut into blocks.
 
-Documents with equal sets are one class. Groups of near copies are not compared pair by pair: every document is
-first linked to the head of the list it meets most often, and lists are merged only across what these links
-leave apart. Links between different components are never lost, so the components are those of all links.
+Documents with equal sets are one class. Links between documents that other links connect are not all listed,
+but no two documents that links connect fall apart: the components are those of all links.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; with fewer words than a
 shingle the whole text is one; a null id counts as larger than all others; repeated rows are linked with each
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import col, fresh
@@ -56,9 +57,10 @@ def prefix_length(n, percent: int):
 class Join:
     """One join; the texts are read once per step, and only narrow rows are shuffled."""
 
-    def __init__(self, docs: DataFrame, percent: int, width: int, list_length: int, filter_bits: int):
-        """``docs``: ``id`` (long, not null) and ``text`` (not null)."""
-        self.docs, self.percent, self.width, self.list_length, self.filter_bits = docs, percent, width, list_length, filter_bits
+    def __init__(self, docs: DataFrame, percent: int, width: int, list_length: int, filter_bits: int, block: int):
+        """``docs``: ``id`` (long, not null) and ``text`` (not null); ``block``: shingles of a block."""
+        self.docs, self.percent, self.width, self.block = docs, percent, width, block
+        self.list_length, self.filter_bits = list_length, filter_bits
 
     def each_text(self, give, schema: str) -> DataFrame:
         """Rows that ``give(fingerprint, sorted set)`` returns as columns, once per distinct set in a task."""
@@ -80,31 +82,34 @@ class Join:
         return self.docs.select("text").mapInPandas(run, schema)
 
     def classes(self) -> DataFrame:
-        """Per document: ``id, n, f, f2``."""
-        width = self.width
+        """Per document: ``id, n, f, f2``, and once per distinct set in a task ``least``, its least shingles."""
+        width, percent = self.width, self.percent
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            known = WordHashes()
+            known, seen = WordHashes(), set()
             for b in batches:
                 sets = [shingles(t, known, width) for t in b["text"]]
                 prints = [fingerprint(s) for s in sets]
-                yield b.drop(columns="text").assign(n=[len(s) for s in sets], f=[p[0] for p in prints], f2=[p[1] for p in prints])
+                least = []
+                for s, (f, _) in zip(sets, prints, strict=True):
+                    least.append([] if f in seen or not len(s) else signed(s[: prefix_length(len(s), percent)]))
+                    seen.add(f)
+                yield b.drop(columns="text").assign(
+                    n=[len(s) for s in sets], f=[p[0] for p in prints], f2=[p[1] for p in prints], least=least
+                )
 
         kept = [f for f in self.docs.schema.fields if f.name != "text"]
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", n long, f long, f2 long"
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", n long, f long, f2 long, least array<long>"
         return stage(self.docs.mapInPandas(run, schema))
 
-    def lists(self) -> DataFrame:
+    def lists(self, classes: DataFrame) -> DataFrame:
         """The inverted lists that hold at least two sets: ``token, f, n, w``.
 
         ``w`` is the order of the last shingle that a set is listed under.
         """
         percent = self.percent
 
-        def first(f: int, s: np.ndarray):
-            return (signed(s[: prefix_length(len(s), percent)]),)
-
-        counts = self.each_text(first, "token long").groupBy("token").count().filter(F.col("count") > self.list_length)
+        counts = classes.select(F.explode("least").alias("token")).groupBy("token").count().filter(F.col("count") > self.list_length)
         listed = self.docs.sparkSession.sparkContext.broadcast(Filter.build(counts, "token", self.filter_bits).words)
 
         def listing(f: int, s: np.ndarray):
@@ -133,18 +138,56 @@ class Join:
 
         return stage(rows.mapInPandas(shared, "token long, f long, n int, w int"))
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (``a, b``) that are similar."""
-        if pairs.isEmpty():
-            return pairs
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("f")).distinct()
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """``f, s`` of the sets that ``wanted`` (``f``) asks for, and of few others; staged."""
         asked = self.docs.sparkSession.sparkContext.broadcast(Filter.build(wanted, "f", self.filter_bits).words)
 
         def give(f: int, s: np.ndarray):
             return ([f], [s.tobytes()]) if Filter(asked.value).has(np.array([f]))[0] else None
 
-        # Copies of a set from several tasks: one is taken.
-        sets = stage(self.each_text(give, "f long, s binary").groupBy("f").agg(F.first("s").alias("s")))
+        # A set that several tasks have met is taken once.
+        return stage(self.each_text(give, "f long, s binary").groupBy("f").agg(F.first("s").alias("s")))
+
+    def _sizes_allow(self, a: str, b: str):
+        return (F.col(a) * 100 >= F.col(b) * self.percent) & (F.col(b) * 100 >= F.col(a) * self.percent)
+
+    def short_pairs(self, lists: DataFrame) -> DataFrame:
+        """Pairs (``a, b``) that meet in short lists and can still reach the overlap; staged.
+
+        A pair that meets in a long list as well is found there, whatever is counted here.
+        """
+        a, b = (lists.select("token", *[F.col(c).alias(f"{c}{x}") for c in ("f", "n", "w")]) for x in ("a", "b"))
+        met = a.join(b, "token").filter((F.col("fa") < F.col("fb")) & self._sizes_allow("na", "nb"))
+        counted = met.groupBy("fa", "fb", "na", "nb", "wa", "wb").agg(F.count(F.lit(1)).alias("c"))
+        p = self.percent
+        # Shingles not counted come after the last one listed, of the set whose list ends first.
+        left = {x: F.floor((F.col(f"n{x}") * p + 99) / 100) - 1 for x in ("a", "b")}
+        rest = F.when(F.col("wa") < F.col("wb"), left["a"]).when(F.col("wa") > F.col("wb"), left["b"]).otherwise(F.greatest(left["a"], left["b"]))
+        enough = (F.col("c") + rest) * (100 + p) >= (F.col("na") + F.col("nb")) * p
+        return stage(counted.filter(enough).select(F.col("fa").alias("a"), F.col("fb").alias("b")))
+
+    def groups(self, lists: DataFrame) -> DataFrame:
+        """Members (``h, i, j, f``) of the groups in which long lists are searched; staged.
+
+        Lists with the same head make one group, so that sets which share many lists are compared once. The head is
+        the least member by a hash, mostly the same in all lists of a family. Groups of many shingles are cut into
+        blocks; block ``i`` is searched against block ``j``.
+        """
+        head = lists.groupBy("token").agg(F.min(F.struct(F.xxhash64("f"), "f")).alias("h")).select("token", F.col("h.f").alias("h"))
+        members = lists.join(head, "token").groupBy("h", "f").agg(F.any_value("n").alias("n"))
+        members = stage(members)
+        sizes = members.groupBy("h").agg(F.ceil(F.sum("n") / self.block).cast("int").alias("blocks"))
+        own = F.pmod(F.xxhash64("f", F.lit(1)), F.col("blocks")).cast("int")
+        dealt = members.join(sizes, "h").withColumn("own", own).select("h", "f", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        return stage(dealt.select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "f"))
+
+    def links(self, lists: DataFrame) -> DataFrame:
+        """All pairs (``a, b``) of similar sets, but for pairs that other links connect."""
+        lengths = lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
+        sized = stage(lists.join(lengths, "token"))
+        pairs = self.short_pairs(sized.filter(F.col("m") <= self.list_length).drop("m"))
+        groups = self.groups(sized.filter(F.col("m") > self.list_length).drop("m"))
+        sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("f")).unionByName(groups.select("f")).distinct())
         percent = self.percent
 
         def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -157,66 +200,79 @@ class Join:
                     good.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield b.loc[good, ["a", "b"]]
 
-        joined = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-        return joined.select("a", "b", "sa", "sb").mapInPandas(probe, "a long, b long")
-
-    def _sizes_allow(self, a: str, b: str):
-        return (F.col(a) * 100 >= F.col(b) * self.percent) & (F.col(b) * 100 >= F.col(a) * self.percent)
+        def search(group: pd.DataFrame) -> pd.DataFrame:
+            found = divide_skip([np.frombuffer(x, np.uint64) for x in group["s"]], group["own"].to_numpy(), percent)
+            f = group["f"].to_numpy()
+            return pd.DataFrame({"a": f[found[:, 0]], "b": f[found[:, 1]]})
 
-    def head_links(self, lists: DataFrame) -> DataFrame:
-        """Each set with the two list heads outside its component that it meets most often (``a, b``).
+        joined = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
+        searched = groups.join(sets, "f").groupBy("h", "i", "j").applyInPandas(search, "a long, b long")
+        return stage(joined.mapInPandas(probe, "a long, b long").unionByName(searched))
 
-        ``lists`` has a ``root`` per row.
-        """
-        heads = lists.groupBy("token").agg(F.min(F.struct("f", "n", "root")).alias("h"), F.max("root").alias("m"), F.min("root").alias("l"))
-        met = lists.join(heads.filter("l < m").select("token", "h"), "token").filter(
-            (F.col("root") != F.col("h.root")) & self._sizes_allow("n", "h.n")
-        )
-        counted = met.groupBy("f", F.col("h.f").alias("b"), "n", F.col("h.n").alias("nb")).agg(F.count(F.lit(1)).alias("c"))
-        # Heads met in a fifth of what the smaller set is listed under; the rest is left to the exact step.
-        least = F.least("n", "nb") * (100 - self.percent) / 100.0
-        most = Window.partitionBy("f").orderBy(F.desc("c"), "b")
-        best = counted.filter(F.col("c") >= least / 5).withColumn("r", F.row_number().over(most)).filter("r <= 2")
-        return stage(best.select(F.col("f").alias("a"), "b"))
-
-    def cross_pairs(self, lists: DataFrame) -> DataFrame:
-        """All pairs of different components that can still reach the overlap."""
-        mixed = lists.groupBy("token").agg(F.min("root").alias("l"), F.max("root").alias("m")).filter("l < m").select("token")
-        rows = stage(lists.join(mixed, "token"))
-        a, b = (rows.select("token", *[F.col(c).alias(f"{c}{x}") for c in ("f", "n", "w", "root")]) for x in ("a", "b"))
-        met = a.join(b, "token").filter((F.col("fa") < F.col("fb")) & (F.col("roota") != F.col("rootb")) & self._sizes_allow("na", "nb"))
-        counted = met.groupBy("fa", "fb", "na", "nb", "wa", "wb").agg(F.count(F.lit(1)).alias("c"))
-        p = self.percent
-        # Shingles not counted come after the last one listed, of the set whose list ends first.
-        left = {x: F.col(f"n{x}") - (F.col(f"n{x}") - F.floor((F.col(f"n{x}") * p + 99) / 100) + 1) for x in ("a", "b")}
-        rest = F.when(F.col("wa") < F.col("wb"), left["a"]).when(F.col("wa") > F.col("wb"), left["b"]).otherwise(F.greatest(left["a"], left["b"]))
-        enough = (F.col("c") + rest) * (100 + p) >= (F.col("na") + F.col("nb")) * p
-        return stage(counted.filter(enough).select(F.col("fa").alias("a"), F.col("fb").alias("b")))
-
-    def roots(self) -> DataFrame:
+    def roots(self, classes: DataFrame) -> DataFrame:
         """``f, root`` of the sets that are linked with a set that has a smaller fingerprint."""
-        lists, edges, found = self.lists(), None, None
-
-        def rooted() -> DataFrame:
-            if found is None:
-                return lists.withColumn("root", F.col("f"))
-            return lists.join(found, "f", "left").withColumn("root", F.coalesce("root", "f"))
+        return components(self.links(self.lists(classes)), "a", "b").toDF("f", "root")
 
-        for pairs_of in (self.head_links, self.head_links, self.cross_pairs):
-            good = stage(self.verified(pairs_of(rooted())))
-            edges = good if edges is None else edges.unionByName(good)
-            found = components(edges, "a", "b").toDF("f", "root")
-        return found
 
+def divide_skip(sets: list[np.ndarray], blocks: np.ndarray, percent: int) -> np.ndarray:
+    """Index pairs of similar sets; of two blocks, only pairs across them.
 
-def linked(docs: DataFrame, percent: int = 75, width: int = 5, list_length: int = 4, filter_bits: int = 1 << 26) -> DataFrame:
+    For each set the longest lists are set aside, fewer than the overlap it needs. The others are merged, and what
+    occurs in enough of them is probed in the long ones by binary search. Sets already connected are left out, so
+    the pairs connect what all links connect.
+    """
+    n = np.array([len(s) for s in sets])
+    order = np.argsort(n, kind="stable")
+    n, across = n[order], len(np.unique(blocks)) > 1
+    blocks = blocks[order]
+    tokens, members = np.concatenate([sets[k] for k in order]), np.repeat(np.arange(len(order)), n)
+    by_token = np.argsort(tokens, kind="stable")
+    tokens, members = tokens[by_token], members[by_token]
+    starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+    ends, heads = np.r_[starts[1:], len(tokens)], tokens[starts]
+    root, out = np.arange(len(order)), []
+    for q in range(len(order)):
+        # Partners of at least its size come later in the order.
+        last = int(np.searchsorted(n, n[q] * 100 // percent, side="right"))
+        if last <= q + 1:
+            continue
+        at = np.searchsorted(heads, sets[order[q]])
+        lengths = ends[at] - starts[at]
+        at = at[np.argsort(lengths)]
+        need = -(-percent * (n[q] + n[q]) // (100 + percent))
+        aside = min(int((lengths > 8).sum()), max(0, (need - 1) // 2))
+        short, long = at[: len(at) - aside], at[len(at) - aside :]
+        merged = np.concatenate([members[starts[t] : ends[t]] for t in short]) if len(short) else members[:0]
+        counts = np.bincount(merged[(merged > q) & (merged < last)] - q - 1, minlength=last - q - 1)
+        wanted = -(-percent * (n[q] + n[q + 1 : last]) // (100 + percent))
+        open_ = (counts + aside >= wanted) & (root[q + 1 : last] != root[q])
+        if across:
+            open_ &= blocks[q + 1 : last] != blocks[q]
+        c = np.flatnonzero(open_)
+        total = counts[c]
+        for k, t in enumerate(long):
+            if not len(c):
+                break
+            listed = members[starts[t] : ends[t]]
+            place = np.minimum(np.searchsorted(listed, c + q + 1), len(listed) - 1)
+            total = total + (listed[place] == c + q + 1)
+            possible = total + (aside - 1 - k) >= wanted[c]
+            c, total = c[possible], total[possible]
+        for d in c[total >= wanted[c]] + q + 1:
+            if root[d] != root[q]:
+                out.append((order[q], order[d]))
+                root[root == root[d]] = root[q]
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def linked(docs: DataFrame, percent: int = 75, width: int = 5, list_length: int = 4, filter_bits: int = 1 << 26, block: int = 1 << 20) -> DataFrame:
     """Rows of ``docs`` (``id`` and ``text``, neither null, and others) with ``n`` and ``root`` in place of the text.
 
     Rows of one root are connected by links; rows without shingles have a null root.
     """
-    join = Join(docs, percent, width, list_length, filter_bits)
+    join = Join(docs, percent, width, list_length, filter_bits, block)
     rows = join.classes()
-    out = rows.join(join.roots(), "f", "left")
+    out = rows.drop("least").join(join.roots(rows), "f", "left")
     return stage(out.withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "f"))).drop("f", "f2"))
 
 
