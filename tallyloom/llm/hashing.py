@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,12 +73,18 @@ class Filter:
 
     @classmethod
     def build(cls, hashes: DataFrame, name: str, bits: int) -> Filter:
-        """From a distributed column; the driver gets at most ``bits / 64`` rows."""
+        """From a distributed column; the driver gets packed arrays of at most ``bits / 4`` bytes in all."""
         place = hashes.select(F.explode(F.array(*cls._places(F.col(name).cast("long"), bits))).alias("p"))
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))
-        got = place.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(bit).alias("m")).toPandas()
+        filled = place.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(bit).alias("m"))
+
+        def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield pd.DataFrame({"w": [b["w"].to_numpy(np.int64).tobytes()], "m": [b["m"].to_numpy(np.int64).tobytes()]})
+
         words = np.zeros(bits // 64, np.int64)
-        words[got["w"].to_numpy(np.int64)] = got["m"].to_numpy(np.int64)
+        for w, m in filled.mapInPandas(pack, "w binary, m binary").toLocalIterator():
+            words[np.frombuffer(w, np.int64)] = np.frombuffer(m, np.int64)
         return cls(words)
 
     def has(self, h: np.ndarray) -> np.ndarray:
