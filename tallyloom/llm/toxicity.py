@@ -81,6 +81,8 @@ class Lexicon:
         return a
 
     def score(self, features: np.ndarray) -> np.ndarray:
+        if not self.curve:  # nothing was learned
+            return np.zeros(len(features))
         return 1 / (1 + np.exp(-np.clip(features @ np.array(self.curve), -30, 30)))
 
 
@@ -137,7 +139,7 @@ def learn(
     texts = training_sample(df, labels, label, doc_id, text, sample)
     sizes = {r.y: r["count"] for r in texts.groupBy("y").count().collect()}
     if len(sizes) < 2:
-        return Lexicon({}, tuple(exceptions), (-30.0, 0.0, 0.0, 0.0))
+        return Lexicon({}, tuple(exceptions), ())
     least = max(3, sizes[1] // 200)
     counted = texts.mapInPandas(_counts, "term string, clean long, toxic long").groupBy("term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
