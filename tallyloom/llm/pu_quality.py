@@ -160,7 +160,7 @@ def learn(
     rows = stage(picked.select("text", "y").mapInPandas(measured, "x array<double>, y int"))
     # Repeated ids may give more rows than were chosen; as many as were asked for are used.
     got = [np.array([r.x for r in rows.filter(F.col("y") == y).limit(sample).collect()], float) for y in (1, 0)]
-    return fit(*[x.reshape(len(x), -1) for x in got])
+    return fit(*got)
 
 
 def scored(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
