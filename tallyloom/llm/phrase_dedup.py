@@ -33,6 +33,8 @@ from tallyloom.llm.hashing import Filter, WordHashes, signed, windows
 from tallyloom.sources.staging import stage
 
 LAST = (1 << 63) - 1
+#: Windows that a task packs at once.
+PACKED = 200_000
 
 
 def anchors(word_hashes: np.ndarray, width: int, phrase: int) -> np.ndarray:
@@ -119,12 +121,31 @@ def repeated(
     near = stage(passages.mapInPandas(only_recurring, "id long, phrase string, windows array<long>"))
     confirmed = near.select("id", F.explode("windows").alias("window")).join(first, "window").filter("first < id")
     # One table for a shard: windows (kind 0), phrases (1) and documents (2), without nulls, which would make ids floats.
-    none, empty = F.lit(0).cast("long"), F.lit("")
-    known_windows = confirmed.select(shard, F.lit(0).alias("kind"), F.col("first").alias("id"), "window", empty.alias("text")).distinct()
+    none, empty, nothing = F.lit(0).cast("long"), F.lit(""), F.lit(b"")
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def packed() -> pd.DataFrame:
+            rows = pd.concat(held).drop_duplicates(["shard", "window"])
+            parts = [(n, part[["window", "first"]].to_numpy(np.int64).T.tobytes()) for n, part in rows.groupby("shard")]
+            return pd.DataFrame(parts, columns=["shard", "packed"])
+
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += len(b)
+            if n >= PACKED:
+                yield packed()
+                held, n = [], 0
+        if n:
+            yield packed()
+
+    # Windows are dealt in packed arrays, a third of the bytes of rows.
+    known_windows = confirmed.select(shard, "window", "first").mapInPandas(pack, "shard int, packed binary")
+    known_windows = known_windows.select("shard", F.lit(0).alias("kind"), none.alias("id"), empty.alias("text"), "packed")
     known_phrases = near.select(
-        shard, F.lit(1).alias("kind"), none.alias("id"), none.alias("window"), F.col("phrase").alias("text")
+        shard, F.lit(1).alias("kind"), none.alias("id"), F.col("phrase").alias("text"), nothing.alias("packed")
     ).distinct()
-    every = docs.select(shard, F.lit(2).alias("kind"), "id", none.alias("window"), "text")
+    every = docs.select(shard, F.lit(2).alias("kind"), "id", "text", nothing.alias("packed"))
     dealt = known_windows.unionByName(known_phrases).unionByName(every).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,8 +155,9 @@ def repeated(
             for number, part in b.groupby("shard", sort=False):
                 if number != at:
                     at, automaton, first_of = number, ahocorasick.Automaton(), {}
-                listed_windows = part[part["kind"] == 0]
-                first_of.update(zip(listed_windows["window"], listed_windows["id"], strict=True))
+                for packed in part.loc[part["kind"] == 0, "packed"]:
+                    window, first_id = np.frombuffer(packed, np.int64).reshape(2, -1).tolist()
+                    first_of.update(zip(window, first_id, strict=True))
                 for p in part.loc[part["kind"] == 1, "text"]:
                     automaton.add_word(f" {p} ", p.count(" ") + 1)
                 told = part[part["kind"] == 2]
