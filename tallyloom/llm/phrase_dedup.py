@@ -4,13 +4,15 @@ A window is ``width`` consecutive words. A word goes if a window that covers it
 a smaller id. Four passes over the texts, none of which compares documents with each other:
 
 1. Each window names its anchor, the least hash among its ``phrase``-word phrases; equal windows name the same
-   one. Anchors are counted by document, and those of one document only are done with.
-2. Windows with a recurring anchor are hashed, and the least id is found per window, summed up in tasks first.
-   This confirms the recurring passages. A filter of fixed size tells which anchors recur; what it lets through
-   in error costs time and changes nothing.
-3. Documents are dealt into shards by id. A shard gets the phrases and confirmed windows of its own documents
-   and compiles the phrases into an Aho-Corasick automaton.
-4. The shard's documents are streamed through the automaton, and each window at an occurrence is looked up.
+   one. Anchors are counted by document, and those of one document only are done with. A filter of fixed size
+   tells which anchors recur; what it lets through in error costs time and changes nothing.
+2. Neighbouring windows with one recurring anchor are a run, known by a hash of all its windows. The owner of a run
+   is the least document that has it; any other that has it loses all of it. What an owner loses, because a smaller
+   document has the same windows in another run, is found once per run, by its windows. This confirms the
+   recurring passages, and of copies only one has its windows compared.
+3. Documents are dealt into shards by id. A shard gets the confirmed runs of its own documents, with the phrase
+   each is anchored at, and compiles the phrases into an Aho-Corasick automaton.
+4. The shard's documents are streamed through the automaton, and each run at an occurrence is looked up.
 
 Defined cases: null and empty texts have no words, and stay; a null id counts as larger than all others;
 documents of fewer words than a window keep all; repeated rows (equal ids) do not remove each other; an empty
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +36,10 @@ from tallyloom.llm.hashing import Filter, WordHashes, signed, windows
 from tallyloom.sources.staging import stage
 
 LAST = (1 << 63) - 1
-#: Windows that a task packs at once.
-PACKED = 200_000
+#: Windows of a run, as many as a long has bits for. Longer runs are cut.
+RUN = 62
+#: Runs that a task remembers to have told.
+TOLD = 1_000_000
 
 
 def anchors(word_hashes: np.ndarray, width: int, phrase: int) -> np.ndarray:
@@ -49,11 +54,15 @@ def anchors(word_hashes: np.ndarray, width: int, phrase: int) -> np.ndarray:
 
 
 def runs(values: np.ndarray) -> list[tuple[int, int]]:
-    """(start, end) of stretches of equal values."""
+    """(start, end) of stretches of equal values, cut at ``RUN``."""
     if not len(values):
         return []
-    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
-    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)], strict=True))
+    cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return [(at, min(at + RUN, e)) for s, e in zip(cuts, cuts[1:], strict=False) for at in range(s, e, RUN)]
+
+
+def run_hash(whole: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(whole.tobytes())).astype(np.int64))
 
 
 def _spoken(tokens: list[bytes]) -> str:
@@ -86,8 +95,8 @@ def repeated(
     recurring = named.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b")
     listed = spark.sparkContext.broadcast(Filter.build(recurring, "anchor", filter_bits).words)
 
-    def hash_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, wanted = WordHashes(), Filter(listed.value)
+    def tell_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, wanted, told = WordHashes(), Filter(listed.value), set()
         for b in batches:
             out = []
             for i, t in zip(b["id"], b["text"], strict=True):
@@ -98,74 +107,71 @@ def repeated(
                     continue
                 whole, phrases = signed(windows(hashes, width)), windows(hashes, phrase)
                 for s, e in runs(named):
-                    if hit[s]:
-                        at = s + int(np.argmin(phrases[s : s + width - phrase + 1]))
-                        out.append((i, _spoken(tokens[at : at + phrase]), whole[s:e]))
-            yield pd.DataFrame(out, columns=["id", "phrase", "windows"])
-
-    passages = stage(docs.mapInPandas(hash_windows, "id long, phrase string, windows array<long>"))
-    starts = passages.select("id", F.explode("windows").alias("window"))
-    first = stage(starts.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("b")).filter("first < b").drop("b"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
-    # Windows that do not recur are left out by a filter before the join, which then moves recurring ones only.
-    recurs = spark.sparkContext.broadcast(Filter.build(first, "window", filter_bits).words)
-
-    def only_recurring(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = Filter(recurs.value)
+                    if not hit[s]:
+                        continue
+                    run = run_hash(whole[s:e])
+                    if run in told:
+                        out.append((i, run, None, None))
+                        continue
+                    told.add(run)
+                    at = s + int(np.argmin(phrases[s : s + width - phrase + 1]))
+                    out.append((i, run, _spoken(tokens[at : at + phrase]), whole[s:e]))
+            if len(told) > TOLD:
+                told.clear()
+            yield pd.DataFrame(out, columns=["id", "run", "phrase", "windows"])
+
+    # A task tells the phrase and the windows of a run once.
+    told = stage(docs.mapInPandas(tell_runs, "id long, run long, phrase string, windows array<long>"))
+    each_run = stage(told.groupBy("run").agg(
+        F.min("id").alias("owner"), F.max("id").alias("last"), F.max("phrase").alias("phrase"), F.max("windows").alias("windows")
+    ))
+    starts = each_run.select("run", "owner", F.posexplode("windows").alias("at", "window"))
+    first = starts.groupBy("window").agg(F.min("owner").alias("first"), F.max("owner").alias("b")).filter("first < b").drop("b")
+    first = stage(first)
+    # Runs without a window that other runs have are left out before the join.
+    shared = spark.sparkContext.broadcast(Filter.build(first, "window", filter_bits).words)
+
+    def may_lose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = Filter(shared.value)
         for b in batches:
-            kept = [x[wanted.has(np.ascontiguousarray(x))] for x in b["windows"]]
-            yield b.assign(windows=kept)[[len(x) > 0 for x in kept]]
-
-    near = stage(passages.mapInPandas(only_recurring, "id long, phrase string, windows array<long>"))
-    confirmed = near.select("id", F.explode("windows").alias("window")).join(first, "window").filter("first < id")
-    # One table for a shard: windows (kind 0), phrases (1) and documents (2), without nulls, which would make ids floats.
-    none, empty, nothing = F.lit(0).cast("long"), F.lit(""), F.lit(b"")
+            out = []
+            for run, owner, whole in zip(b["run"], b["owner"], b["windows"], strict=True):
+                out += [(run, owner, at, whole[at]) for at in np.flatnonzero(wanted.has(np.array(whole, np.int64))).tolist()]
+            yield pd.DataFrame(out, columns=["run", "owner", "at", "window"])
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def packed() -> pd.DataFrame:
-            rows = pd.concat(held).drop_duplicates(["shard", "window"])
-            parts = [(n, part[["window", "first"]].to_numpy(np.int64).T.tobytes()) for n, part in rows.groupby("shard")]
-            return pd.DataFrame(parts, columns=["shard", "packed"])
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at"))
+    loses = each_run.select("run", "owner", "windows").mapInPandas(may_lose, "run long, owner long, at int, window long")
+    loses = loses.join(first, "window").filter("first < owner").groupBy("run").agg(F.bit_or(bit).alias("mask"))
+    confirmed = each_run.join(loses, "run", "left").filter("owner < last OR mask IS NOT NULL")
+    confirmed = confirmed.select("run", "owner", F.coalesce("mask", F.lit(0).cast("long")).alias("mask"), "phrase")
 
-        held, n = [], 0
-        for b in batches:
-            held.append(b)
-            n += len(b)
-            if n >= PACKED:
-                yield packed()
-                held, n = [], 0
-        if n:
-            yield packed()
-
-    # Windows are dealt in packed arrays, a third of the bytes of rows.
-    known_windows = confirmed.select(shard, "window", "first").mapInPandas(pack, "shard int, packed binary")
-    known_windows = known_windows.select("shard", F.lit(0).alias("kind"), none.alias("id"), empty.alias("text"), "packed")
-    known_phrases = near.select(
-        shard, F.lit(1).alias("kind"), none.alias("id"), F.col("phrase").alias("text"), nothing.alias("packed")
-    ).distinct()
-    every = docs.select(shard, F.lit(2).alias("kind"), "id", "text", nothing.alias("packed"))
-    dealt = known_windows.unionByName(known_phrases).unionByName(every).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
+    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
+    # One table for a shard: its runs (kind 0, the run as id) and its documents (1), without nulls, which would make ids floats.
+    nothing = F.lit(0).cast("long")
+    known_runs = told.select(shard, "run").distinct().join(confirmed, "run")
+    known_runs = known_runs.select("shard", F.lit(0).alias("kind"), F.col("run").alias("id"), F.col("phrase").alias("text"), "owner", "mask")
+    every = docs.select(shard, F.lit(1).alias("kind"), "id", "text", nothing.alias("owner"), nothing.alias("mask"))
+    dealt = known_runs.unionByName(every).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, automaton, first_of, known = None, None, {}, WordHashes()
+        at, automaton, listed_runs, known = None, None, {}, WordHashes()
         for b in batches:
             out = []
             for number, part in b.groupby("shard", sort=False):
                 if number != at:
-                    at, automaton, first_of = number, ahocorasick.Automaton(), {}
-                for packed in part.loc[part["kind"] == 0, "packed"]:
-                    window, first_id = np.frombuffer(packed, np.int64).reshape(2, -1).tolist()
-                    first_of.update(zip(window, first_id, strict=True))
-                for p in part.loc[part["kind"] == 1, "text"]:
+                    at, automaton, listed_runs = number, ahocorasick.Automaton(), {}
+                told = part[part["kind"] == 0]
+                listed_runs.update(zip(told["id"].tolist(), zip(told["owner"].tolist(), told["mask"].tolist(), strict=True), strict=True))
+                for p in told["text"]:
                     automaton.add_word(f" {p} ", p.count(" ") + 1)
-                told = part[part["kind"] == 2]
+                told = part[part["kind"] == 1]
                 if len(told) and len(automaton) and automaton.kind != ahocorasick.AHOCORASICK:
                     automaton.make_automaton()
                 for i, t in zip(told["id"], told["text"], strict=True):
                     tokens = words(t)
-                    gone = _gone(tokens, int(i), automaton, first_of, known, width)
+                    gone = _gone(tokens, int(i), automaton, listed_runs, known, width, phrase)
                     kept = b" ".join(w for w, g in zip(tokens, gone, strict=True) if not g) if gone.any() else b" ".join(tokens)
                     out.append((i, len(tokens), int(gone.sum()), kept.decode("utf-8", "surrogatepass"), hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_text", "kept_sha256"])
@@ -174,14 +180,15 @@ def repeated(
     return done.select(F.nullif("id", F.lit(LAST)).alias("doc_id"), "n_words", "n_removed", "kept_text", "kept_sha256")
 
 
-def _gone(tokens: list[bytes], doc: int, automaton, first_of: dict[int, int], known: WordHashes, width: int) -> np.ndarray:
+def _gone(
+    tokens: list[bytes], doc: int, automaton, listed: dict[int, tuple[int, int]], known: WordHashes, width: int, phrase: int
+) -> np.ndarray:
     """Words covered by a window that a smaller document has."""
     n = len(tokens)
     gone = np.zeros(n, bool)
     if n < width or not len(automaton):
         return gone
-    spoken = f" {_spoken(tokens)} "
-    found = [(end, k) for end, k in automaton.iter(spoken)]
+    found = list(automaton.iter(f" {_spoken(tokens)} "))
     if not found:
         return gone
     # Positions of the words' last characters, to turn places in the string into words.
@@ -190,9 +197,15 @@ def _gone(tokens: list[bytes], doc: int, automaton, first_of: dict[int, int], kn
     for end, k in found:
         last = int(np.searchsorted(ends, end))
         near[max(0, last + 1 - width) : max(0, last - k + 2)] = True
-    at = np.flatnonzero(near)
-    hashes = signed(windows(known.of(tokens), width))[at]
-    again = [a for a, h in zip(at.tolist(), hashes.tolist(), strict=True) if first_of.get(h, doc) < doc]
-    for a in again:
-        gone[a : a + width] = True
+    hashes = known.of(tokens)
+    whole = signed(windows(hashes, width))
+    for s, e in runs(anchors(hashes, width, phrase)):
+        if near[s] and (run := listed.get(run_hash(whole[s:e]))):
+            owner, mask = run
+            if owner < doc:
+                gone[s : e - 1 + width] = True
+            else:
+                for at in range(e - s):
+                    if mask >> at & 1:
+                        gone[s + at : s + at + width] = True
     return gone
