@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontaminate, kd_shards, mixing, ngram_join, phrase_dedup, pu_quality, quality_rules, sanitise, toxicity, warc
+from tallyloom.llm import (
+    decontaminate, kd_shards, lexical_search, mixing, ngram_join, phrase_dedup, pu_quality, quality_rules, sanitise, toxicity, warc, whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -134,3 +136,45 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
+@query(
+    "op11_lexical_search",
+    """
+    WITH words AS (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM documents
+    ), asked AS (
+        SELECT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM benchmark
+    ), tf AS (
+        SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term
+    ), sizes AS (
+        SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id
+    ), corpus AS (
+        SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS length FROM sizes
+    ), weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM tf, corpus GROUP BY term, documents
+    ), scores AS (
+        SELECT item_id, doc_id,
+               CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // length)))) AS BIGINT) AS score
+        FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN sizes USING (doc_id), corpus
+        GROUP BY item_id, doc_id
+    )
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scores WHERE score > 0
+    QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
