@@ -11,7 +11,7 @@
 Entries are integers, ``floor(scale * c) + offset``. Sums and deviations are exact. Entries and deviations that no
 64-bit integer holds make an ``OverflowError``.
 
-Defined cases: rows whose vector is null or holds a null or non-finite entry are left out; vectors of another length
+Defined cases: rows whose vector is null, empty or holds a null or non-finite entry are left out; vectors of another length
 than the most frequent one (of equally frequent ones the longest) belong to another space and are left out too;
 repeated rows and ids count each; components without variance (numerically, against the largest) are not given, so that
 one vector, equal vectors, vectors without entries and empty tables give no rows; equal eigenvalues (ties) have any
@@ -92,7 +92,7 @@ def refined(a: np.ndarray, tolerance: float = 1e-17) -> tuple[np.ndarray, np.nda
 def _usable(df: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """``vec_id, v`` with doubles, of rows whose vector is whole and finite and has the usual length."""
     own = df.select(col(vec_id).alias("vec_id"), col(embedding).cast("array<double>").alias("v"))
-    whole = own.filter("v IS NOT NULL AND forall(v, c -> c IS NOT NULL AND NOT isnan(c) AND abs(c) < double('infinity'))")
+    whole = own.filter("size(v) > 0 AND forall(v, c -> c IS NOT NULL AND NOT isnan(c) AND abs(c) < double('infinity'))")
     usual = whole.groupBy(F.size("v").alias("d")).count().orderBy(F.col("count").desc(), F.col("d").desc()).first()
     return whole.filter(F.size("v") == (usual.d if usual else 0))
 
