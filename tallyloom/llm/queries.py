@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import (
-    decontaminate, kd_shards, lexical_search, mixing, ngram_join, phrase_dedup, pu_quality, quality_rules, sanitise, toxicity, warc, whitening,
+    decontaminate, kd_shards, lexical_search, mixing, ngram_join, phrase_dedup, pu_quality, quality_rules, sanitise, suffix_dedup,
+    toxicity, warc, whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +179,38 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op13_suffix_dedup",
+    """
+    WITH t AS (
+        SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+    ), windows AS (
+        SELECT doc_id, i, md5(substring(x, 2 * i + 1, 100)) AS h
+        FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS i FROM t WHERE len(x) >= 100)
+    ), firsts AS (
+        SELECT h, min(doc_id) AS first FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)
+    ), starts AS (
+        SELECT doc_id, i FROM windows JOIN firsts USING (h) WHERE first < doc_id
+    ), spaced AS (
+        SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS opens FROM starts
+    ), numbered AS (
+        SELECT doc_id, i, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM spaced
+    ), spans AS (
+        SELECT doc_id, span, min(i) AS s, max(i) + 50 AS e FROM numbered GROUP BY doc_id, span
+    ), bounds AS (
+        SELECT t.doc_id, x, coalesce(lag(e) OVER (PARTITION BY t.doc_id ORDER BY s), 0) AS a, coalesce(s, len(x) // 2) AS b, span,
+               CASE WHEN lead(s) OVER (PARTITION BY t.doc_id ORDER BY s) IS NULL THEN e END AS last
+        FROM t LEFT JOIN spans USING (doc_id)
+    ), kept AS (
+        SELECT doc_id, any_value(x) AS x, CAST(count(span) AS BIGINT) AS n_spans,
+               string_agg(substring(x, 2 * a + 1, 2 * (b - a)) || coalesce(substring(x, 2 * last + 1), ''), '' ORDER BY a) AS "left"
+        FROM bounds GROUP BY doc_id
+    )
+    SELECT doc_id, len(x) // 2 AS n_bytes, (len(x) - len("left")) // 2 AS n_removed, n_spans, sha256(unhex("left")) AS kept_sha256 FROM kept
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
