@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
@@ -24,12 +28,34 @@ def staging_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+@contextmanager
+def _without_spent_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Spark drops the shuffle files of what runs here as soon as it has ended, not when its memory is next collected."""
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_DROP_SHUFFLES) if before is None else spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write an intermediate table and read it back.
 
     The plan restarts from Parquet: executors may be lost without recomputing what came
     before, statistics are exact, and later reads prune columns.
     """
-    path = f"{staging_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = f"{staging_folder(spark)}/{uuid.uuid4().hex}"
+    with _without_spent_shuffles(spark):
+        df.write.parquet(path)
+    staged = spark.read.parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Give back the space of tables that ``stage`` returned and nothing will read again: they become empty."""
+    for df in staged:
+        spark = df.sparkSession
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(df.staged_at)

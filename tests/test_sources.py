@@ -86,3 +86,15 @@ def test_staging_uses_the_cluster_folder(spark):
 def test_two_names_may_not_share_a_directory(spark, root):
     with pytest.raises(ValueError, match="share"):
         tables.write_table_set({"A b": spark.range(1), "a-b": spark.range(1)}, root)
+
+
+def test_released_tables_are_empty_and_settings_stay(spark):
+    from tallyloom.sources.staging import release, stage
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    table = stage(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
+    assert table.count() == 7
+    release(table)
+    assert spark.read.parquet(table.staged_at).count() == 0
+    assert spark.conf.get(name, None) == before
