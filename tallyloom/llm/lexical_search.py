@@ -46,6 +46,8 @@ LEVELS = [1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, *(1 << k for k in range(
 HASHES = 6
 #: Documents of a block at most.
 BLOCK_DOCS = 2048
+#: Terms whose hashes a task remembers.
+KNOWN = 100_000
 
 _TERMS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -69,7 +71,7 @@ def impact(tf, m):
 
 
 def _hashes(found: list[bytes], seen: dict[bytes, int]) -> np.ndarray:
-    if len(seen) > 1_000_000:
+    if len(seen) > KNOWN:
         seen.clear()
     return np.fromiter((seen.get(t) or seen.setdefault(t, xxhash.xxh3_64_intdigest(t) | 1) for t in found), np.uint64, len(found))
 
@@ -98,27 +100,27 @@ class _Block:
         self.keys.append(keys)
         self.holding.update(counts.keys())
 
-    def row(self) -> tuple:
+    def frame(self) -> pd.DataFrame:
         set_bits = np.zeros((self.bits, len(self.ids)), bool)
         for d, keys in enumerate(self.keys):
             set_bits[_rows(keys, self.bits).ravel(), d] = True
         held = list(self.holding)
-        return (
-            np.array(self.ids, np.int64).tobytes(), np.array(self.lengths, np.int64).tobytes(), self.bits,
-            np.packbits(set_bits, axis=1).tobytes(), [t.decode("utf-8", "surrogatepass") for t in held], [self.holding[t] for t in held],
-        )
+        return pd.DataFrame({
+            "ids": [np.array(self.ids, np.int64).tobytes()], "lengths": [np.array(self.lengths, np.int64).tobytes()], "bits": [self.bits],
+            "slices": [np.packbits(set_bits, axis=1).tobytes()],
+            "terms": [[t.decode("utf-8", "surrogatepass") for t in held]], "holding": [[self.holding[t] for t in held]],
+        })
 
 
 BLOCKS = "ids binary, lengths binary, bits int, slices binary, terms array<string>, holding array<int>"
 
 
-def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_terms: int = 1 << 18) -> DataFrame:
+def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_terms: int = 1 << 17) -> DataFrame:
     """Signature blocks of all documents with a term. ``block_terms`` bounds the keys of a block, and so a task's memory."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blocks, filled, seen = {}, Counter(), {}
         for b in batches:
-            out = []
             for i, t in zip(b["id"], b["text"], strict=True):
                 counts = Counter(terms(t))
                 if not counts:
@@ -135,12 +137,10 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_ter
                 blocks.setdefault(size, _Block(size)).add(i, counts, keys)
                 filled[size] += len(keys)
                 if filled[size] >= block_terms or len(blocks[size].ids) == BLOCK_DOCS:
-                    out.append(blocks.pop(size).row())
+                    yield blocks.pop(size).frame()
                     filled[size] = 0
-            if out:
-                yield pd.DataFrame(out, columns=["ids", "lengths", "bits", "slices", "terms", "holding"])
         for size in list(blocks):
-            yield pd.DataFrame([blocks.pop(size).row()], columns=["ids", "lengths", "bits", "slices", "terms", "holding"])
+            yield blocks.pop(size).frame()
 
     own = docs.select(F.coalesce(col(doc_id).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(col(text), F.lit("")).alias("text"))
     return own.mapInPandas(sign, BLOCKS)

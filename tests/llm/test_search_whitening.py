@@ -46,7 +46,7 @@ def queries(rows_of_docs):
     return [*rows, rows[0], (0, "few"), (None, "few words"), (77, " ".join(r.choice(cut[0] + cut[1]) for _ in range(300)))]
 
 
-@pytest.mark.parametrize(("block_terms", "how"), [(1 << 18, {}), (200, {"top": 3, "query_terms": 250})])
+@pytest.mark.parametrize(("block_terms", "how"), [(1 << 17, {}), (200, {"top": 3, "query_terms": 250})])
 def test_search_ranks_as_brute_force(spark, docs, rows_of_docs, queries, how, block_terms, rows):
     asked = spark.createDataFrame([(*q, 1) for q in queries], "item_id long, text string, doc_id int")
     blocks = lexical_search.index(docs, block_terms=block_terms)
@@ -72,7 +72,8 @@ def test_bounds_are_never_below_the_scores(rows_of_docs):
             keys = [lexical_search._level(h[tf >= at], k) for k, at in enumerate(lexical_search.LEVELS)]
             block.add(i, c, np.concatenate(keys))
             every[len(every)] = c
-    ids, lengths, bits, slices, *_ = block.row()
+    row = block.frame().iloc[0]
+    lengths, bits, slices = row.lengths, row.bits, row.slices
     names = sorted({t for c in every.values() for t in c})
     slices = np.frombuffer(slices, np.uint8).reshape(bits, -1)
     lengths = np.frombuffer(lengths, np.int64)
