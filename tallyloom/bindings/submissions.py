@@ -11,6 +11,7 @@ from tallyloom.bindings.registry import doubles, query
 from tallyloom.operators.present import with_constants
 from tallyloom.plans import analysis_set, coalitions, formula, forms
 from tallyloom.plans.forms import AMOUNT, CITY, NAME, SERVED, TYPE_RAW
+from tallyloom.sources.publish import publish_periods, read_history
 from tallyloom.sources.staging import stage, staging_folder
 from tallyloom.sources.tables import literal_table, overwrite_periods
 
@@ -116,11 +117,16 @@ def categories(spark):
     )
 
 
-def resolved_submissions(spark, d, form=FORM):
-    """As the job does: what several steps read is written once and read back."""
+def submission_index(spark, d, form=FORM):
     clean = formula.clean_screens(screens(spark, d))
-    joined = stage(formula.join_screens(clean["Screen-1"], clean["Screen-3"], form))
-    return clean, joined, stage(formula.original_format(joined))
+    return clean, stage(formula.submission_index(clean["Screen-1"], clean["Screen-3"], form))
+
+
+def resolved_submissions(spark, d, form=FORM):
+    """As the job does: resolved on the index; what several steps read is written once and read back."""
+    clean, index = submission_index(spark, d, form)
+    kept = stage(formula.resolve_submissions(index))
+    return clean, kept, stage(formula.decoded(formula.counted_submissions(clean["Screen-1"], clean["Screen-3"], kept, form)))
 
 
 def subawards(spark, clean, resolved):
@@ -137,6 +143,13 @@ def wide_rows(spark, d):
     return formula.wide_table(long, crosswalk(spark), resolved, LABELS, FORM)
 
 
+def reporting(spark, d):
+    clean, index = submission_index(spark, d)
+    columns = formula.join_screens(clean["Screen-1"], clean["Screen-3"], FORM).columns  # of the plan; nothing runs
+    kept = formula.resolve_submissions(index)
+    return stage(formula.reporting_submissions(kept, lookup(spark), crosswalk(spark), columns, FORM))
+
+
 @query(
     "states_original_format",
     CLEAN + """SELECT fy AS "Fy", ein AS "EIN", grantee AS "GranteeName", kind AS "GranteeTypeTxt", postal AS "PostalCode", program AS "ProgAcronym",
@@ -220,6 +233,25 @@ def states_history_stored(spark, d):
     return _stored(spark, d, by_program=True)
 
 
+@query(
+    "states_history_published",
+    CLEAN + f"""SELECT {IDS}, element AS "Element", v AS "Value" FROM elements
+    UNION ALL SELECT kind, fy - 3, program, postal, ein, element, 'old' FROM elements WHERE fy - 3 < {YEARS[0]}""",
+)
+def states_history_published(spark, d):
+    """As states_history_stored, as versions: the second replaces its years and refers to the first for the others."""
+    clean, _, long = long_rows(spark, d)
+    long = stage(long.select(*forms.OUT_IDS, "Element", "Value"))
+    root = f"{staging_folder(spark)}/published-{uuid.uuid4().hex}"
+    shifted = long.withColumns({"Year": F.col("Year") - 3, "Value": F.lit("old")})
+    returned = long.filter(F.col("Year") == YEARS[-1]).withColumns({"Year": F.col("Year") + 1, "Value": F.lit("stale")})
+    before = shifted.unionByName(returned)
+    publish_periods(before, before.select("Year"), root, "history", "v1", "first", "Year")
+    cover = clean["Screen-1"].select("Fy").distinct().unionByName(spark.range(1).select(F.lit(YEARS[-1] + 1).cast("int").alias("Fy")))
+    formula.publish_history(long, cover, root, "history", "v2", "second")
+    return read_history(spark, root, "history").select(*forms.OUT_IDS, "Element", "Value")
+
+
 @query(
     "states_history_merged_programs",
     CLEAN + """SELECT kind AS "Grant Type", postal AS "State", fy AS "Year", ein AS "EIN", element AS "Element", max(v) AS "Value"
@@ -262,7 +294,7 @@ WIDE_IDS = CLEAN + ", wide AS (SELECT DISTINCT kind, fy, postal, ein FROM rows)
       count(DISTINCT ein) FILTER (kind = 'Tribe') AS "Number of tribes reporting" FROM wide GROUP BY fy""",
 )
 def states_reporting_counts(spark, d):
-    return formula.reporting_counts(wide_rows(spark, d))
+    return formula.reporting_counts(reporting(spark, d))
 
 
 @query(
@@ -271,7 +303,7 @@ def states_reporting_counts(spark, d):
       WHERE NOT EXISTS (SELECT 1 FROM wide w WHERE w.kind = 'State' AND w.fy = y.fy AND w.postal = s)""",
 )
 def states_missing(spark, d):
-    return formula.missing_states(wide_rows(spark, d), ROSTER)
+    return formula.missing_states(reporting(spark, d), ROSTER)
 
 
 @query(
@@ -282,8 +314,7 @@ def states_missing(spark, d):
       LEFT JOIN subs s ON s.fy = y.fy AND s.kind = k.kind AND s.code = c.code AND s.program = p.program GROUP BY ALL""",
 )
 def states_status_counts(spark, d):
-    clean = formula.clean_screens(screens(spark, d))
-    return formula.status_counts(formula.join_screens(clean["Screen-1"], clean["Screen-3"], FORM))
+    return formula.status_counts(submission_index(spark, d)[1])
 
 
 # Coalitions: several revisions per customer, year and program.

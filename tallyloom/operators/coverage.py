@@ -1,7 +1,7 @@
 """What was expected against what came: grids, missing members, contingency tables.
 
-Declared axes are exploded. Observed axes stay rows: they are dealt into buckets, and the other
-side meets every bucket, so that no task and no array holds an axis.
+Declared axes are exploded. Observed axes are measured and cut into tiles, arrays of bounded length; the other
+side is copied once per tile, so that a short axis costs no copy and no task holds a long one.
 """
 
 from __future__ import annotations
@@ -13,14 +13,47 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.names import col, cols
 from tallyloom.operators.joins import drop_ids, key_pairs, lookup_left, null_safe_join
+from tallyloom.sources.staging import stage
 
+#: Axis rows in a tile, and base rows that meet a tile in one task where there are several tiles.
+TILE_ROWS, CHUNK_ROWS = 1024, 16_384
 
-def every_pair(base: DataFrame, axis: DataFrame) -> DataFrame:
-    """Every row of ``base`` with every row of ``axis``, by an equality join on the axis's bucket."""
-    buckets = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = base.withColumn("__bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    right = axis.withColumn("__bucket", F.pmod(F.xxhash64(*cols(axis.columns)), F.lit(buckets)).cast("int"))
-    return left.join(right, "__bucket").drop("__bucket")
+
+def tiles_of(axis: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """``__tile, __values``: the rows of an axis as arrays of about ``rows`` structs, and the number of tiles."""
+    measured = stage(axis)
+    n = max(1, -(-measured.count() // rows))
+    if n == 1:
+        number = F.lit(0)
+    else:
+        number = F.pmod(F.xxhash64(*cols(axis.columns)), F.lit(n)).cast("int")
+    packed = measured.select(number.alias("__tile"), F.struct(*cols(axis.columns)).alias("__value"))
+    return stage(packed.groupBy("__tile").agg(F.collect_list("__value").alias("__values"))), n
+
+
+def meet_tiles(base: DataFrame, axis: DataFrame, tile_rows: int = TILE_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Every row of ``base`` with every tile of ``axis``, as an array ``__values``.
+
+    Both sides are counted. An axis of one tile meets the rows where they lie. Of a longer one, the base is copied once
+    per tile and cut into chunks, each of which meets one tile per task; tiles are copied once per chunk.
+    """
+    tiles, n = tiles_of(axis, tile_rows)
+    chunks = 1
+    if n > 1:
+        base = stage(base)
+        chunks = max(1, -(-base.count() // chunk_rows))
+    chunk = F.pmod(F.xxhash64(*cols(base.columns)), F.lit(chunks)).cast("int")
+    left = base.withColumn("__chunk", chunk)
+    if n > 1:
+        left = left.withColumn("__tile", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    right = tiles.withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    met = left.join(right, ["__chunk", "__tile"]) if n > 1 else left.join(right.drop("__tile"), "__chunk")
+    return met.select(*cols(base.columns), "__values")
+
+
+def every_pair(base: DataFrame, axis: DataFrame, **sizes: int) -> DataFrame:
+    """Every row of ``base`` with every row of ``axis``, by tiles."""
+    return meet_tiles(base, axis, **sizes).select(*cols(base.columns), F.inline("__values"))
 
 
 def expand_grid(base: DataFrame, axes: Mapping[str, Sequence]) -> DataFrame:
@@ -71,6 +104,7 @@ def missing_members(
     present = df.select(col(period), col(member)).distinct()
     if isinstance(roster, DataFrame):
         members = roster.select(col(member)).distinct()
+        present = stage(present)
         expected = expand_observed(members, present, period).select(col(period), col(member))
     else:
         expected = expand_grid(present.select(col(period)).distinct(), {member: list(roster)})
@@ -110,10 +144,10 @@ def complete(
 def contingency(df: DataFrame, axes: Sequence[str], alias: str = "count") -> DataFrame:
     """Counts over the full product of the observed values, 0 where nothing was seen.
 
-    Rows with a null axis are not counted. Axes are taken from the folded counts, not from
-    the rows.
+    Rows with a null axis are not counted. Axes are taken from the folded counts, which are
+    written once, not from the rows.
     """
-    counts = df.na.drop("any", subset=list(axes)).groupBy(*cols(axes)).agg(F.count(F.lit(1)).alias(alias))
+    counts = stage(df.na.drop("any", subset=list(axes)).groupBy(*cols(axes)).agg(F.count(F.lit(1)).alias(alias)))
     grid = counts.select(col(axes[0])).distinct()
     for name in axes[1:]:
         grid = expand_observed(grid, counts, name)

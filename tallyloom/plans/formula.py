@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.html import html_unescape, unescape_columns
-from tallyloom.functions.names import col, prefix_keys, present
+from tallyloom.functions.names import col, cols, prefix_keys, present
 from tallyloom.functions.values import binary_category, normalise_id, parse_date, unify_alias
 from tallyloom.operators import coverage, hygiene, joins, resolve, rollup
 from tallyloom.operators.history import merge_history
@@ -20,11 +20,15 @@ from tallyloom.operators.reshape import (
 )
 from tallyloom.plans import forms
 from tallyloom.plans.forms import StateForm
-from tallyloom.sources.publish import publish
+from tallyloom.sources.publish import publish, publish_periods
 from tallyloom.sources.staging import stage
 from tallyloom.sources.tables import drop_periods, overwrite_periods
 
 NAME_ALIASES = ["GRANTEE NAME", "GRANTEE_NAME", "GRANTEENAME"]  # fixed values
+# What decides which submission counts.
+RESOLVING = ["CodeTxt", "Fy", "RptEin", "ProgAcronym", "RevSeqNumber", "SubmitDate", "GranteeTypeTxt", "PostalCode"]
+#: The submit date as it came, beside the parsed one.
+RAW_DATE = "__submitted"
 
 
 def clean_screens(
@@ -53,12 +57,48 @@ def join_screens(cover: DataFrame, metrics: DataFrame, form: StateForm) -> DataF
     wide = joins.join_shared(
         cover.drop("Screen-Name"), metrics.drop(*spare), submission_keys(cover, form)
     )
-    if dict(wide.dtypes)["SubmitDate"] == "string":
+    return rename_by_substring(_dated(wide), form.repairs)
+
+
+def _dated(df: DataFrame) -> DataFrame:
+    """The submit date parsed, and a plain id."""
+    if dict(df.dtypes)["SubmitDate"] == "string":
         day = F.coalesce(parse_date(col("SubmitDate")), parse_date(F.left(col("SubmitDate"), F.lit(10)), "yyyy-MM-dd"))
     else:
         day = col("SubmitDate").cast("date")
-    wide = wide.withColumns({"SubmitDate": day, "EIN": normalise_id(col("RptEin"))})
-    return rename_by_substring(wide, form.repairs)
+    return df.withColumns({"SubmitDate": day, "EIN": normalise_id(col("RptEin"))})
+
+
+def _identity(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Columns of a screen that tell submissions apart or decide between them."""
+    return [c for c in df.columns if c in keys or c in RESOLVING]
+
+
+def submission_index(cover: DataFrame, metrics: DataFrame, form: StateForm) -> DataFrame:
+    """One narrow row per submission that has both screens: its keys and what decides which counts. No metric is read."""
+    keys = submission_keys(cover, form)
+    ids = joins.join_shared(cover.select(*cols(_identity(cover, keys))), metrics.select(*cols(_identity(metrics, keys))), keys)
+    return _dated(ids.withColumn(RAW_DATE, col("SubmitDate")))
+
+
+def counted_submissions(cover: DataFrame, metrics: DataFrame, kept: DataFrame, form: StateForm) -> DataFrame:
+    """Wide rows of the resolved submissions only: both screens are cut to them before they are joined.
+
+    ``kept`` is the resolved index. Ties that were kept stay; the submissions are those that resolving the wide
+    rows would leave.
+    """
+    keys = submission_keys(cover, form)
+    raw = kept.withColumn("SubmitDate", col(RAW_DATE))
+    cut = []
+    for screen in (cover, metrics):
+        ids = _identity(screen, keys)
+        cut.append(joins.keep_ids(screen, raw.select(*cols(ids)).distinct(), ids))
+    wide = join_screens(*cut, form)
+    deciding = [set(_identity(screen, keys)) - set(keys) for screen in (cover, metrics)]
+    if all(deciding):  # each screen decides something, so that pairs of kept rows need not be kept
+        ids = _identity(kept, keys)
+        wide = joins.keep_ids(wide, kept.select(*cols(ids)).distinct(), ids)
+    return wide
 
 
 def resolve_submissions(wide: DataFrame) -> DataFrame:
@@ -82,6 +122,12 @@ def original_format(wide: DataFrame, text_columns: Sequence[str] | None = None)
     return unescape_columns(resolve_submissions(wide), text_columns or decodable)
 
 
+def decoded(wide: DataFrame) -> DataFrame:
+    """Entities decoded in all texts but the keys of the outputs."""
+    keys = ["CodeTxt", "Fy", "EIN", "ProgAcronym", "GranteeTypeTxt", "PostalCode"]
+    return unescape_columns(wide, [n for n, t in wide.dtypes if t == "string" and n not in keys])
+
+
 def service_outcomes(resolved: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Survey type by measure, one row per submission and survey type."""
     name, label = "Meta Name Description", "Label"
@@ -163,6 +209,33 @@ def wide_table(
     return joins.null_safe_join(wide, names, ["EIN"], "left")
 
 
+def labelled_elements(
+    lookup: DataFrame, crosswalk: DataFrame, columns: Sequence[str], form: StateForm
+) -> tuple[list[str], list[str]]:
+    """Elements that the long table of these columns has, and the labels of its wide table."""
+    extra = [forms.SHELTER_TOTAL, forms.NONSHELTER_TOTAL]
+    wanted = [*columns, *extra, *form.question_names.values()]
+    elements = matching_values(lookup, "Meta Name Description", wanted, "Element", fold=True) + extra
+    return elements, matching_values(crosswalk, "Element", elements, "Label", fold=True)
+
+
+def reporting_submissions(kept: DataFrame, lookup: DataFrame, crosswalk: DataFrame, columns: Sequence[str], form: StateForm) -> DataFrame:
+    """Ids of the wide table's rows, from the resolved index: neither the long nor the wide table is built.
+
+    Every resolved submission has a row for each element, fund totals those of states; it is in the wide table when
+    one of its elements has a label.
+    """
+    extra = {forms.SHELTER_TOTAL, forms.NONSHELTER_TOTAL}
+    named = [form.question_names.get(c, c) for c in columns if c not in forms.ID_COLUMNS]
+    elements = matching_values(lookup, "Meta Name Description", named, "Element", fold=True)
+    labelled = crosswalk.where(col("Label").isNotNull())
+    named = matching_values(labelled, "Element", [*elements, *extra], "Element", fold=True)
+    ids = rename_columns(kept.select(*cols(forms.ID_COLUMNS)).distinct(), forms.ID_NAMES)
+    if any(e.upper() not in extra for e in named):
+        return ids
+    return ids.where(col("Grant Type") == "State") if named else ids.limit(0)
+
+
 def reporting_counts(wide: DataFrame) -> DataFrame:
     """Distinct reporting states and tribes per year."""
     ids = wide.select(col("Year"), col("Grant Type"), col("EIN")).distinct()
@@ -193,49 +266,60 @@ def run(
     description: str,
     history_path: str | None = None,
     by_program: bool = True,
+    history: str | None = None,
     roster: Sequence[str] = forms.STATE_ROSTER,
     stage_with: Callable[[DataFrame], DataFrame] = stage,
 ) -> dict[str, str]:
-    """The whole job: clean, resolve, derive, publish one version, update the stored history.
+    """The whole job: clean, resolve, derive, publish one version, update the history.
 
-    The joined screens and the resolved submissions feed many tables, so each is written once
-    and read back.
+    Submissions are resolved on a narrow index; metrics are read once, for those that count. The index and the
+    resolved submissions feed many tables, so each is written once and read back. ``history`` names a history under
+    ``root`` that is published as a version of its own; ``history_path`` is a plain folder by year, replaced in place.
     """
     clean = clean_screens(screens, form.row_order)
-    joined = stage_with(join_screens(clean["Screen-1"], clean["Screen-3"], form))
-    resolved = stage_with(original_format(joined))
+    cover, metrics = clean["Screen-1"], clean["Screen-3"]
+    index = stage_with(submission_index(cover, metrics, form))
+    kept = stage_with(resolve_submissions(index))
+    resolved = stage_with(decoded(counted_submissions(cover, metrics, kept, form)))
     subawards = stage_with(subaward_rows(clean["Screen-2"], lookups["cultspec_subawardee"], resolved, form.row_order))
     long = stage_with(long_table(resolved, subawards, lookups["lookup"], form))
     xw = lookups["crosswalk"].where(
         col("Meta Name Description").isNotNull() | col("Note").isNotNull()
     )
-    wanted = [f.name for f in resolved.schema.fields] + [forms.SHELTER_TOTAL, forms.NONSHELTER_TOTAL]
-    wanted += list(form.question_names.values())
-    elements = matching_values(lookups["lookup"], "Meta Name Description", wanted, "Element", fold=True)
-    elements += [forms.SHELTER_TOTAL, forms.NONSHELTER_TOTAL]
-    labels = matching_values(xw, "Element", elements, "Label", fold=True)
-    wide = stage_with(wide_table(long, xw, resolved, labels, form))
+    _, labels = labelled_elements(lookups["lookup"], xw, resolved.columns, form)
+    reporting = reporting_submissions(kept, lookups["lookup"], xw, resolved.columns, form)
     tables = {
         "OriginalFormat": resolved,
         "ServiceOutcome": service_outcomes(resolved, xw),
         "Subawardee": subawards,
         "LongFormat": long,
-        "WideFormat": wide,
-        "ReportingCounts": reporting_counts(wide),
-        "MissingStates": missing_states(wide, roster),
-        "StatusCounts": status_counts(joined),
+        "WideFormat": wide_table(long, xw, resolved, labels, form),
+        "ReportingCounts": reporting_counts(reporting),
+        "MissingStates": missing_states(reporting, roster),
+        "StatusCounts": status_counts(index),
     }
     paths = publish(tables, root, "states_tribes", version, description)
     if history_path:
         store_history(long, clean["Screen-1"], history_path, by_program)
         paths["History"] = history_path
+    if history:
+        publish_history(long, clean["Screen-1"], root, history, version, description, by_program)
     return paths
 
 
+def publish_history(
+    long: DataFrame, cover: DataFrame, root: str, name: str, version: str, description: str, by_program: bool = True
+) -> None:
+    """The history as a new version: the years of the raw extract are replaced, all others stay by reference, in one step."""
+    fresh = merge_long_history(None, long, cover, by_program)
+    publish_periods(fresh, cover.select(col("Fy").alias("Year")), root, name, version, description, "Year")
+
+
 def store_history(long: DataFrame, cover: DataFrame, path: str, by_program: bool = True) -> None:
-    """Replace the years of the raw extract in the stored history; years none of whose rows were kept become empty.
+    """Replace the years of the raw extract in a plain folder by year; years none of whose rows were kept become empty.
 
-    The years of an extract, a handful, come to the driver.
+    Two steps, during which readers may see either; ``publish_history`` has one. The years of an extract, a handful,
+    come to the driver.
     """
     fresh = merge_long_history(None, long, cover, by_program)
     years = cover.select(col("Fy").alias("Year")).distinct()

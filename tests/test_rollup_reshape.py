@@ -184,3 +184,19 @@ def test_history_replaces_whole_periods(spark, rows):
     assert rows(history.merge_history(None, new, "y", [2023], ["y", "k"], ["v"])) == [(2023, "a", "n2")]
     once = history.merge_history(old, new, "y", [2023], ["y", "k"], ["v"])
     assert rows(history.merge_history(once, new, "y", [2023], ["y", "k"], ["v"])) == want
+
+
+def test_axes_meet_the_base_by_tiles(spark, rows):
+    """The base is copied once per tile, not once per value or partition; a short axis copies nothing."""
+    base = spark.range(50).select(F.nullif("id", F.lit(7)).alias("k"), F.lit("x").alias("v"))
+    for n, tile_rows in ((3, 1024), (40, 8), (0, 8)):
+        axis = spark.range(n).select((F.col("id") * 2).alias("a"), F.col("id").cast("string").alias("b"))
+        tiles, n_tiles = coverage.tiles_of(axis, tile_rows)
+        assert n_tiles == max(1, -(-n // tile_rows))
+        met = coverage.meet_tiles(base, axis, tile_rows, chunk_rows=16)
+        assert met.count() == 50 * tiles.count() <= 50 * n_tiles
+        pairs = coverage.every_pair(base, axis, tile_rows=tile_rows, chunk_rows=16)
+        assert pairs.columns == ["k", "v", "a", "b"]
+        assert rows(pairs) == rows(base.crossJoin(axis))
+    met = coverage.meet_tiles(base, spark.range(3).toDF("a"))
+    assert met.count() == 50 and "CartesianProduct" not in met._jdf.queryExecution().executedPlan().toString()

@@ -98,3 +98,42 @@ def test_released_tables_are_empty_and_settings_stay(spark):
     release(table)
     assert spark.read.parquet(table.staged_at).count() == 0
     assert spark.conf.get(name, None) == before
+
+
+def test_history_versions_refer_to_unchanged_periods(spark, root, rows):
+    def frame(*years_and_values):
+        return spark.createDataFrame(list(years_and_values), "y string, v string")
+
+    def put(fresh, replaced, version):
+        publish.publish_periods(fresh, replaced.select("y"), root, "History", version, version, "y")
+
+    put(frame(("2021", "a"), ("2022", "b"), (None, "n"), ("a/b=c %", "odd")), frame(), "v1")
+    put(frame(("2022", "c"), ("2022", "d")), frame(("2022", "x"), ("2021", "returned")), "v2")
+    assert rows(publish.read_history(spark, root, "history")) == [("2022", "c"), ("2022", "d"), ("a/b=c %", "odd"), (None, "n")]
+    assert rows(publish.read_history(spark, root, "history", "v1"))[:2] == [("2021", "a"), ("2022", "b")]
+    versions = {r.version: {p.version for p in r.parts} for r in publish.manifest(spark, root, "history").collect()}
+    assert versions == {"v1": {"v1"}, "v2": {"v1", "v2"}}
+    put(frame(), frame((None, "x")), "v3")
+    assert rows(publish.read_history(spark, root, "history")) == [("2022", "c"), ("2022", "d"), ("a/b=c %", "odd")]
+    publish.retire(spark, root, "history", "v3")
+    assert len(rows(publish.read_history(spark, root, "history"))) == 4
+    with pytest.raises(ValueError):
+        publish.read_history(spark, root, "history", "v9")
+    with pytest.raises(ValueError):
+        publish.read_history(spark, root, "no such")
+
+
+def test_a_failed_history_run_leaves_the_old_version(spark, root, rows, monkeypatch):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "y int, v string")
+    publish.publish_periods(df, df, root, "h", "v1", "", "y")
+
+    def fail(*_, **__):
+        raise RuntimeError("lost between the data and the manifest")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(publish, "_append", fail)
+        with pytest.raises(RuntimeError):
+            publish.publish_periods(df.withColumn("v", F.lit("new")), df, root, "h", "v2", "", "y")
+    assert rows(publish.read_history(spark, root, "h")) == [(1, "a"), (2, "b")]
+    publish.publish_periods(df.withColumn("v", F.lit("new")).where("y = 2"), df, root, "h", "v3", "", "y")
+    assert rows(publish.read_history(spark, root, "h")) == [(2, "new")]
