@@ -10,7 +10,12 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Shuffle files of what has ended go at once, not when the driver's memory is next collected; and a batch of rows that
+# crosses to Python is small beside the memory of a worker, whatever the session allows.
+_WHILE_STAGING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 @lru_cache(maxsize=1)
@@ -29,14 +34,16 @@ def staging_folder(spark: SparkSession) -> str:
 
 
 @contextmanager
-def _without_spent_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Spark drops the shuffle files of what runs here as soon as it has ended, not when its memory is next collected."""
-    before = spark.conf.get(_DROP_SHUFFLES, None)
-    spark.conf.set(_DROP_SHUFFLES, "true")
+def bounded(spark: SparkSession) -> Iterator[None]:
+    """What runs in here drops its spent shuffles and takes small batches to Python."""
+    before = {k: spark.conf.get(k, None) for k in _WHILE_STAGING}
+    for k, v in _WHILE_STAGING.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(_DROP_SHUFFLES) if before is None else spark.conf.set(_DROP_SHUFFLES, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -47,7 +54,7 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_folder(spark)}/{uuid.uuid4().hex}"
-    with _without_spent_shuffles(spark):
+    with bounded(spark):
         df.write.parquet(path)
     staged = spark.read.parquet(path)
     staged.staged_at = path
