@@ -10,9 +10,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.sources.staging import bounded
+
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_KNOWN_WORDS = 1_000_000
+_KNOWN_WORDS = 100_000
+_KNOWN_POWERS: dict[int, np.ndarray] = {}
 
 
 class WordHashes(dict):
@@ -29,11 +32,15 @@ class WordHashes(dict):
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.ones(n, np.uint64)
-    if n > 1:
-        out[1:] = np.uint64(base)
-        np.multiply.accumulate(out, out=out)
-    return out
+    """The first ``n`` powers; those of texts of usual length are kept."""
+    known = _KNOWN_POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1 << 14), np.uint64(base))
+        known[0] = 1
+        np.multiply.accumulate(known, out=known)
+        if len(known) <= 1 << 21:
+            _KNOWN_POWERS[base] = known
+    return known[:n]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -83,8 +90,9 @@ class Filter:
                 yield pd.DataFrame({"w": [b["w"].to_numpy(np.int64).tobytes()], "m": [b["m"].to_numpy(np.int64).tobytes()]})
 
         words = np.zeros(bits // 64, np.int64)
-        for w, m in filled.mapInPandas(pack, "w binary, m binary").toLocalIterator():
-            words[np.frombuffer(w, np.int64)] = np.frombuffer(m, np.int64)
+        with bounded(hashes.sparkSession):
+            for w, m in filled.mapInPandas(pack, "w binary, m binary").toLocalIterator():
+                words[np.frombuffer(w, np.int64)] = np.frombuffer(m, np.int64)
         return cls(words)
 
     def has(self, h: np.ndarray) -> np.ndarray:

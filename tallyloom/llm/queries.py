@@ -10,6 +10,7 @@ from tallyloom.llm import (
     decontaminate, kd_shards, lexical_search, mixing, ngram_join, phrase_dedup, pu_quality, quality_rules, sanitise, suffix_dedup,
     toxicity, warc, whitening,
 )
+from tallyloom.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,7 +86,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return phrase_dedup.repeated(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return stage(phrase_dedup.repeated(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256"))
 
 
 @query(
@@ -213,4 +214,4 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return stage(found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
