@@ -124,7 +124,7 @@ def expected_subaward_reports(spark, d):
 
 
 def status_of(spark, d, rows):
-    return arp.expected_status(arp.expected_subaward_reports(rows, regions(spark, d), BRIEFING), reports(spark, d))
+    return arp.expected_status(arp.expected_subaward_reports(rows, regions(spark, d), BRIEFING), stage(reports(spark, d)))
 
 
 @query(

@@ -15,6 +15,8 @@ from tallyloom.functions.values import (
 from tallyloom.operators import coverage, hygiene, joins, present, rollup
 from tallyloom.operators.reshape import explode_delimited, override_cells, pivot_fill
 from tallyloom.plans import forms
+from tallyloom.sources.publish import publish
+from tallyloom.sources.staging import stage
 
 # Funding types of the form and their streams.
 STREAM_OF_TYPE = {
@@ -126,15 +128,42 @@ def stream_entities(arp: DataFrame) -> DataFrame:
     return arp.select("year", *ENTITY, "stream").distinct()
 
 
-def stream_counts(arp: DataFrame) -> DataFrame:
+def stream_counts(arp: DataFrame, cube: DataFrame | None = None) -> DataFrame:
+    """Sub-awardees per year and stream; read from a stored cube where there is one, as in the tables below."""
+    if cube is not None:
+        return cube.where(col("level") == BY_STREAM).select("year", "stream", "n")
     return rollup.count_by(stream_entities(arp), ["year", "stream"])
 
 
+# Sub-award types that figures count.
+KINDS = ["Shelter", "Non-shelter", "Coalition"]
+# What a row of the cube counts: entities of a year and stream, also by region or by state (grouping ids).
+BY_STREAM, BY_REGION, BY_STATE = 3, 1, 2
+
+
+def entity_cube(arp: DataFrame, regions: DataFrame) -> DataFrame:
+    """All counts the tables need, in one pass: ``level, year, stream, HHS Region, state, n`` and a column per type.
+
+    ``n`` counts entities; a type's column counts entities of that type, each once per population category. Rows are
+    folded per entity first, and the levels are grouping sets of the folded rows.
+    """
+    facts = arp.select("year", "stream", *ENTITY, "shelter", "underserved").distinct()
+    kinds = [F.count_if(col("shelter") == k).alias(k) for k in KINDS]
+    placed = with_region(facts.groupBy("year", "stream", *ENTITY).agg(*kinds), regions)
+    sets = [["year", "stream"], ["year", "stream", "HHS Region"], ["year", "stream", "state"]]
+    axes = ["year", "stream", "HHS Region", "state"]
+    counts = placed.groupingSets([cols(s) for s in sets], *cols(axes)).agg(
+        F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("n"), *[F.sum(col(k)).alias(k) for k in KINDS]
+    )
+    return counts.select("level", *cols(axes), "n", *cols(KINDS))
+
+
 def expected_subaward_reports(arp: DataFrame, regions: DataFrame, b: ArpBriefing) -> DataFrame:
     """Every state, year and seen program, and whether ARP sub-awards were listed under it."""
-    submitted = arp.select(
+    # Read as the axis of programs and by the lookup; the sub-awards are read once.
+    submitted = stage(arp.select(
         col("year").alias("Year"), col("state").alias("State Abb"), "ProgAcronym"
-    ).distinct()
+    ).distinct())
     grid = coverage.expand_grid(regions, {"Year": list(b.years)})
     grid = coverage.expand_observed(grid, submitted, "ProgAcronym").where(
         ~((col("Year") == b.single_program_year) & (col("ProgAcronym") != b.programs[0]))
@@ -181,7 +210,7 @@ def states_under_program(arp: DataFrame, program: str = forms.CORE) -> DataFrame
     return arp.where(col("ProgAcronym") == program).select("state").distinct()
 
 
-def award_summary(arp: DataFrame, funding: DataFrame) -> DataFrame:
+def award_summary(arp: DataFrame, funding: DataFrame, cube: DataFrame | None = None) -> DataFrame:
     """Total funds per stream above the number of sub-awardees per year, as text."""
     titles = list(dict.fromkeys(STREAM_TITLES.values()))
     grants = funding.where((col("Grantee Type") == "State") & col("Grant Program Type").isin(list(GRANT_TYPES)))
@@ -190,7 +219,7 @@ def award_summary(arp: DataFrame, funding: DataFrame) -> DataFrame:
         F.lit("Total funding to grant recipients").alias("Funding Metric"),
         recode(col("Grant Program Type"), GRANT_TYPES).alias("stream"), money_text(col("Amount")).alias("text"),
     )
-    counts = stream_counts(arp).select(
+    counts = stream_counts(arp, cube).select(
         F.concat(F.lit("Number of subawardees, FY"), col("year").cast("string")).alias("Funding Metric"),
         recode(col("stream"), STREAM_TITLES).alias("stream"), count_text(col("n")).alias("text"),
     )
@@ -210,10 +239,14 @@ def _by_region(df: DataFrame, b: ArpBriefing, before: Sequence[str]) -> DataFram
     return present.order_by_levels(df, "HHS Region", [*b.regions, "Total"], before=before)
 
 
-def region_by_stream(arp: DataFrame, regions: DataFrame, b: ArpBriefing) -> DataFrame:
+def region_by_stream(arp: DataFrame, regions: DataFrame, b: ArpBriefing, cube: DataFrame | None = None) -> DataFrame:
     """Sub-awardees per region and stream, each year closed by its total."""
-    placed = with_region(stream_entities(arp), regions)
-    counts = pivot_fill(placed, ["year", "HHS Region"], "stream", STREAM_COLUMNS)
+    if cube is not None:
+        cells = [F.sum(F.when(col("stream") == s, col("n")).otherwise(0)).alias(t) for s, t in STREAM_COLUMNS.items()]
+        counts = cube.where(col("level") == BY_REGION).groupBy(*cols(["year", "HHS Region"])).agg(*cells)
+    else:
+        placed = with_region(stream_entities(arp), regions)
+        counts = pivot_fill(placed, ["year", "HHS Region"], "stream", STREAM_COLUMNS)
     out = rollup.with_totals(counts, ["year"], "HHS Region", list(STREAM_COLUMNS.values()))
     return _by_region(out.drop("is_total"), b, ["year"])
 
@@ -265,19 +298,20 @@ def _in_year_streams(b: ArpBriefing) -> Column:
     return rule
 
 
-def type_counts(arp: DataFrame, regions: DataFrame, kind: str, b: ArpBriefing) -> DataFrame:
+def type_counts(arp: DataFrame, regions: DataFrame, kind: str, b: ArpBriefing, cube: DataFrame | None = None) -> DataFrame:
     """Figure data: sub-awardees of one type per year, stream and region."""
-    rows = arp.where((col("shelter") == kind) & _in_year_streams(b)).select(
-        "year", "stream", *ENTITY, "shelter", "underserved"
-    ).distinct()
-    counts = rollup.count_by(with_region(rows, regions), ["year", "stream", "HHS Region"])
-    out = counts.withColumn("stream", recode(col("stream"), STREAM_LABELS))
-    return present.order_by_levels(out, "HHS Region", list(b.regions), before=["year"], after=["stream"])
+    cube = entity_cube(arp, regions) if cube is None else cube
+    counts = cube.where((col("level") == BY_REGION) & (col(kind) > 0) & _in_year_streams(b)).select(
+        col("year"), recode(col("stream"), STREAM_LABELS).alias("stream"), col("HHS Region"), col(kind).alias("n")
+    )
+    return present.order_by_levels(counts, "HHS Region", list(b.regions), before=["year"], after=["stream"])
 
 
-def coalition_counts(arp: DataFrame, regions: DataFrame, b: ArpBriefing) -> DataFrame:
+def coalition_counts(arp: DataFrame, regions: DataFrame, b: ArpBriefing, cube: DataFrame | None = None) -> DataFrame:
     """Figure data: coalitions per stream and region, 0 where none, for the streams of each year."""
-    counts = type_counts(arp, regions, "Coalition", b)
+    # Completed once per set of streams.
+    cube = stage(entity_cube(arp, regions)) if cube is None else cube
+    counts = type_counts(arp, regions, "Coalition", b, cube)
     years_of: dict[tuple[str, ...], list[int]] = {}
     for y in b.years:
         years_of.setdefault(tuple(STREAM_LABELS[s] for s in b.streams(y)), []).append(y)
@@ -341,7 +375,8 @@ def served_by_region(served: DataFrame, regions: DataFrame, b: ArpBriefing) -> D
 
 
 def submission_matrix(
-    arp: DataFrame, status: DataFrame, regions: DataFrame, overrides: DataFrame | None, b: ArpBriefing
+    arp: DataFrame, status: DataFrame, regions: DataFrame, overrides: DataFrame | None, b: ArpBriefing,
+    cube: DataFrame | None = None,
 ) -> DataFrame:
     """Sub-awardees per state, year and stream; 0 or that nothing was submitted where none.
 
@@ -353,7 +388,10 @@ def submission_matrix(
         .select(col("State Abb").alias("state"), col("Year").alias("year")).distinct()
         .withColumn("submitted_arp_ppr", F.lit("Yes"))
     )
-    counts = rollup.count_by(stream_entities(arp), ["year", "state", "stream"])
+    if cube is not None:
+        counts = cube.where(col("level") == BY_STATE).select("year", "state", "stream", "n")
+    else:
+        counts = rollup.count_by(stream_entities(arp), ["year", "state", "stream"])
     grid = coverage.expand_grid(
         regions.select(col("State Abb").alias("state")), {"year": list(b.years), "stream": list(STREAM_TITLES)}
     )
@@ -405,3 +443,47 @@ def organisation_amounts(external: DataFrame) -> DataFrame:
     )
     both = rows.unionByName(total)
     return both.select("Organization", "Location", money_text(col("__n")).alias("Funding Amount"))
+
+
+def run(
+    parts: Sequence[DataFrame],
+    lookups: Mapping[str, DataFrame],
+    b: ArpBriefing,
+    root: str,
+    version: str,
+    description: str,
+    overrides: DataFrame | None = None,
+) -> dict[str, str]:
+    """The whole briefing as one version: the sub-awards are derived once, and counted once.
+
+    ``lookups`` holds ``regions``, ``funding``, ``external`` and ``wide`` (the submissions, for their status).
+    """
+    base = stage(arp_subawards(parts))
+    regions, external = lookups["regions"], lookups["external"]
+    cube = stage(entity_cube(base, regions))
+    expected = stage(expected_subaward_reports(base, regions, b))
+    status = stage(expected_status(expected, state_reports(lookups["wide"], b)))
+    served = stage(served_entities(base, external))
+    tables = {
+        "StreamCounts": stream_counts(base, cube),
+        "ExpectedReports": expected,
+        "ReportCounts": subaward_report_counts(expected),
+        "Status": status,
+        "StatusCounts": status_counts(status),
+        "StatesUnderCore": states_under_program(base),
+        "AwardSummary": award_summary(base, lookups["funding"], cube),
+        "RegionByStream": region_by_stream(base, regions, b, cube),
+        "RegionByService": region_by_service(base, regions, b),
+        "RegionByArea": region_by_area(base, regions, b),
+        "ShelterCounts": type_counts(base, regions, "Shelter", b, cube),
+        "NonShelterCounts": type_counts(base, regions, "Non-shelter", b, cube),
+        "CoalitionCounts": coalition_counts(base, regions, b, cube),
+        "ServedByStream": served_by_stream(served),
+        "ServedUnique": served_unique(served_entities(base, external, by_stream=False)),
+        "ServedByRegion": served_by_region(served, regions, b),
+        "SubmissionMatrix": submission_matrix(base, status, regions, overrides, b, cube),
+        "CoalitionMatrix": coalition_matrix(base, b),
+        "ServedMatrix": served_matrix(served),
+        "OrganisationAmounts": organisation_amounts(external),
+    }
+    return publish(tables, root, "arp_briefing", version, description)
