@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.sources.staging import bounded
+from tallyloom.sources.staging import release, stage
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -90,9 +90,10 @@ class Filter:
                 yield pd.DataFrame({"w": [b["w"].to_numpy(np.int64).tobytes()], "m": [b["m"].to_numpy(np.int64).tobytes()]})
 
         words = np.zeros(bits // 64, np.int64)
-        with bounded(hashes.sparkSession):
-            for w, m in filled.mapInPandas(pack, "w binary, m binary").toLocalIterator():
-                words[np.frombuffer(w, np.int64)] = np.frombuffer(m, np.int64)
+        packed = stage(filled.mapInPandas(pack, "w binary, m binary"))
+        for w, m in packed.toLocalIterator():
+            words[np.frombuffer(w, np.int64)] = np.frombuffer(m, np.int64)
+        release(packed)
         return cls(words)
 
     def has(self, h: np.ndarray) -> np.ndarray:
