@@ -17,7 +17,7 @@ def places(spark, d):
 
 
 def orders_with_region(spark, d):
-    return joins.lookup_left(orders_with_nation(spark, d), places(spark, d), ["nationkey"])
+    return joins.lookup_left(orders_with_nation(spark, d), joins.lay_out(places(spark, d), ["nationkey"]), ["nationkey"])
 
 
 def lines_with_region(spark, d):

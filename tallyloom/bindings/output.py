@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from tallyloom.bindings.registry import query, table
 from tallyloom.functions.values import unify_alias
 from tallyloom.operators import history
-from tallyloom.sources import publish, tables
-from tallyloom.sources.staging import staging_folder
+from tallyloom.functions.names import prefix_keys
+from tallyloom.operators import joins
+from tallyloom.sources import ledger, publish, tables
+from tallyloom.sources.staging import stage, staging_folder
 
 
 @query(
@@ -124,3 +126,87 @@ def csv_roundtrip(spark, d):
     )
     s.write.csv(path, header=True)
     return tables.read_table(spark, path, "csv")
+
+
+SCREENS = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey"}
+
+
+@query(
+    "row_order_csv",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS screen, CAST({k} AS VARCHAR) AS code, row_number() OVER (ORDER BY {k}) - 1 AS row_ix FROM {t}" for t, k in SCREENS.items()
+    ),
+)
+def row_order_csv(spark, d):
+    """Three CSV files in the order of their keys, read in splits of 16 KB."""
+    root = f"{staging_folder(spark)}/csv-{uuid.uuid4().hex}"
+    for t, k in SCREENS.items():
+        rows = table(spark, d, t)
+        rows.orderBy(k).coalesce(1).write.csv(f"{root}/{t}", header=True, escape='"', quoteAll=True)
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "16384")
+    try:
+        screens = tables.read_table_set(spark, root, list(SCREENS), "csv", row_order=True)
+        parts = [df.select(F.lit(t).alias("screen"), F.col(SCREENS[t]).alias("code"), "row_ix") for t, df in screens.items()]
+        return stage(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    finally:
+        spark.conf.set(size, before)
+
+
+@query(
+    "extract_ledger",
+    """
+    SELECT CASE WHEN s_suppkey % 3 = 2 THEN 'second' ELSE 'first' END AS batch, 'supplier_2024010' || CAST(1 + s_suppkey % 3 AS VARCHAR) || '.parquet' AS source_file,
+           CAST('2024-01-0' || CAST(1 + s_suppkey % 3 AS VARCHAR) AS DATE) AS pull_date, s_suppkey FROM supplier
+    """,
+)
+def extract_ledger(spark, d):
+    """Two dated extracts are read and recorded; when the third has come, only it is read."""
+    root = f"{staging_folder(spark)}/extracts-{uuid.uuid4().hex}"
+    suppliers = table(spark, d, "supplier").select("s_suppkey")
+    batches = []
+    for batch, days in (("first", (0, 1)), ("second", (2,))):
+        for day in days:
+            suppliers.where(F.col("s_suppkey") % 3 == day).write.parquet(f"{root}/in/supplier_2024010{1 + day}.parquet")
+        rows, files = ledger.read_unread(spark, f"{root}/in/*/*.parquet", f"{root}/ledger", level=-2)
+        batches.append(stage(rows.select(F.lit(batch).alias("batch"), "source_file", "pull_date", "s_suppkey")))
+        ledger.record(spark, f"{root}/ledger", files, batch)
+    return batches[0].unionByName(batches[1])
+
+
+@query(
+    "publish_pinned",
+    """
+    SELECT 'v1' AS version, 'first pull' AS description, n_nationkey, n_name FROM nation
+    UNION ALL SELECT 'v2', 'second pull', n_nationkey, upper(n_name) || '!' FROM nation WHERE n_nationkey < 10
+    """,
+)
+def publish_pinned(spark, d):
+    """Two versions of a table: the pinned older one and the latest, each with its description."""
+    root = f"{staging_folder(spark)}/pinned-{uuid.uuid4().hex}"
+    nation = table(spark, d, "nation").select("n_nationkey", "n_name")
+    newer = nation.where("n_nationkey < 10").withColumn("n_name", F.concat(F.upper("n_name"), F.lit("!")))
+    publish.publish({"Nation": nation}, root, "places", "v1", "first pull")
+    publish.publish({"Nation": newer}, root, "places", "v2", "second pull")
+    described = publish.manifest(spark, root, "places").select("version", "description")
+    pinned = publish.read_version(spark, root, "places", "Nation", "v1").withColumn("version", F.lit("v1"))
+    latest = publish.read_version(spark, root, "places", "Nation").withColumn("version", F.lit("v2"))
+    return joins.lookup_left(pinned.unionByName(latest), described, ["version"]).select("version", "description", "n_nationkey", "n_name")
+
+
+@query(
+    "join_prefix_keys",
+    """
+    WITH a AS (SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders),
+    b AS (SELECT o_custkey, o_orderstatus, o_orderpriority, count(*) AS n FROM orders WHERE o_totalprice > 100000 GROUP BY ALL)
+    SELECT a.o_custkey, a.o_orderstatus, a.o_orderpriority AS pri_x, b.o_orderpriority AS pri_y, n
+    FROM a JOIN b ON a.o_custkey = b.o_custkey AND a.o_orderstatus = b.o_orderstatus
+    """,
+)
+def join_prefix_keys(spark, d):
+    """The leading two columns are the key, the third clashes."""
+    o = table(spark, d, "orders")
+    a = o.select("o_custkey", "o_orderstatus", F.col("o_orderpriority").alias("pri")).distinct()
+    b = o.where("o_totalprice > 100000").groupBy("o_custkey", "o_orderstatus", F.col("o_orderpriority").alias("pri")).agg(F.count(F.lit(1)).alias("n"))
+    return joins.join_shared(a, b, prefix_keys(a, 2))

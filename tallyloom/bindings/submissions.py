@@ -530,3 +530,50 @@ def analysis_subawards(spark, d):
 def coalition_latest_records(spark, d):
     out = analysis_set.coalition_set(coalition_screens(spark, d), None)["org_data"]
     return out.drop("SubmitDate", "Row-Iteration", "row_ix", "Screen-Name")
+
+
+def _section(screen: str) -> None:
+    """A section without questions of its own: every expected submission with the resolved row of that screen."""
+
+    @query(
+        f"coalition_section_{screen[-1]}",
+        CO_BASE + f""", plain AS ({CO_PLAIN}), best AS (SELECT * FROM plain QUALIFY {CO_BEST})
+        SELECT {CO_OUT.replace("state AS", "f.state AS").replace("CAST(fy", "CAST(f.fy").replace("program AS", "f.program AS")}, duns AS "DUNS",
+          program_name AS "Program Name", f.receipt AS "Rpt-Receipt-Id", price FROM full_grid f LEFT JOIN best b ON b.row_ix = f.row_ix""",
+    )
+    def section(spark, d):
+        _, out = coalition_sections(spark, d, [screen])
+        return out[screen].select(*CO_IDS, "Missing", "CoalitionName", "DUNS", "Program Name", "`Rpt-Receipt-Id`", "price")
+
+
+for _screen in ("Screen-2", "Screen-3", "Screen-6", "Screen-7"):
+    _section(_screen)
+
+
+def _latest(name: str) -> None:
+    @query(
+        f"coalition_latest_{name}",
+        f"""SELECT t.* FROM (WITH p AS ({CO_PLAIN}) SELECT state AS "PostalCode", fy AS "Fy", ein AS "RptEin", program AS "ProgAcronym", rev AS "RevSeqNumber",
+          receipt AS "Rpt-Receipt-Id", price FROM p QUALIFY row_number() OVER (PARTITION BY fy, ein, program ORDER BY submitted DESC, row_ix) = 1) t""",
+    )
+    def latest(spark, d):
+        out = analysis_set.coalition_set(coalition_screens(spark, d), None)[name]
+        return out.drop("SubmitDate", "Row-Iteration", "row_ix", "Screen-Name")
+
+
+for _name in ("funding_data", "event_data", "tta_data"):
+    _latest(_name)
+
+
+@query(
+    "coalition_priority_areas",
+    ANSWERED + f"""SELECT {CO_OUT}, area AS "Priority Area", inv AS "Level of Involvement" FROM (
+      SELECT f.*, 'Area A' AS area, CASE WHEN lower(inv_a) = 'select' THEN NULL ELSE inv_a END AS inv {_JOINED}
+      UNION ALL SELECT f.*, 'Area B', NULL {_JOINED}) f""",
+)
+def coalition_priority_areas(spark, d):
+    """The fifth table of the coalition set: priority areas, before their types of activities are told apart."""
+    keys, out = coalition_sections(spark, d, ["Screen-4", "Screen-5"])
+    areas = coalitions.activities_long(out["Screen-5"].drop("Types of Activities - Area A"), coalitions.long_id_columns(keys))
+    found = analysis_set.coalition_set(coalition_screens(spark, d), areas)["pa_data"]
+    return found.select(*CO_IDS, "Missing", "CoalitionName", "Priority Area", "Level of Involvement")

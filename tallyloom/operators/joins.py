@@ -7,7 +7,9 @@ of the others.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.names import col, cols, quote, renamed, shared_keys
 from tallyloom.functions.values import check
+from tallyloom.sources.staging import bounded, staging_folder
 
 Keys = Sequence[str | tuple[str, str]]
 
@@ -93,14 +96,53 @@ def unique_rows(dim: DataFrame, keys: Sequence[str], what: str = "lookup") -> Da
     )
 
 
+@dataclass(frozen=True)
+class Dimension:
+    """A lookup that is checked and laid out: stored in buckets of its keys, which are unique."""
+
+    df: DataFrame
+    keys: tuple[str, ...]
+    null_keys: bool
+
+
+def lay_out(dim: DataFrame, keys: Sequence[str], what: str = "lookup", buckets: int | None = None) -> Dimension:
+    """Store a lookup in buckets of its keys, and check once that they are unique.
+
+    One shuffle writes it; the check and all joins on the keys read it where it lies. A key that occurs twice is an
+    error. There are as many buckets as shuffle partitions, unless ``buckets`` says otherwise.
+    """
+    spark = dim.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"dim_{uuid.uuid4().hex}"
+    plain = {c: f"c{i}" for i, c in enumerate(dim.columns)}  # names that any catalog takes
+    by = [plain[k] for k in keys]
+    stored = dim.selectExpr(*renamed(plain)).repartition(n, *by)
+    with bounded(spark):
+        stored.write.bucketBy(n, *by).sortBy(*by).option("path", f"{staging_folder(spark)}/{name}").format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in by])
+    most, nulls = table.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.count_if(null)).first()
+    if (most or 0) > 1:
+        raise ValueError(f"{what}: key {list(keys)} is not unique")
+    return Dimension(table.select(*[F.col(p).alias(c) for c, p in plain.items()]), tuple(keys), bool(nulls))
+
+
 def lookup_left(
     df: DataFrame,
-    dim: DataFrame,
+    dim: DataFrame | Dimension,
     on: Keys,
     unique: bool = True,
     suffixes: tuple[str, str] = ("", "_right"),
 ) -> DataFrame:
-    """Left lookup join. ``unique`` fails the job when the lookup would multiply rows."""
+    """Left lookup join. ``unique`` fails the job when the lookup would multiply rows.
+
+    A ``Dimension`` was checked when it was laid out. Where it has no null key, null keys meet nothing either way, and
+    plain equality lets its buckets be read without a shuffle.
+    """
+    if isinstance(dim, Dimension):
+        if {r for _, r in key_pairs(on)} != set(dim.keys):
+            raise ValueError(f"laid out by {list(dim.keys)}, not by {[r for _, r in key_pairs(on)]}")
+        return null_safe_join(df, dim.df, on, "left", suffixes, null_match=dim.null_keys)
     if unique:
         dim = unique_rows(dim, [r for _, r in key_pairs(on)])
     return null_safe_join(df, dim, on, "left", suffixes)

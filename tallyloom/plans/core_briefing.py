@@ -79,10 +79,13 @@ def statewide_coalitions(coalitions: DataFrame) -> DataFrame:
 
 
 def placed_subawards(core: DataFrame, regions: DataFrame, coalitions: DataFrame) -> DataFrame:
-    """Sub-awards with their region; those to a coalition get its name and that type."""
+    """Sub-awards with their region; those to a coalition get its name and that type.
+
+    Both lookups are checked and laid out once, so that the joins shuffle the sub-awards alone.
+    """
     names = statewide_coalitions(coalitions).select(col("data_name"), col("coalition"))
-    out = joins.lookup_left(core, region_lookup(regions), [STATE])
-    out = joins.lookup_left(out, names, [(NAME, "data_name")])
+    out = joins.lookup_left(core, joins.lay_out(region_lookup(regions), [STATE], "regions"), [STATE])
+    out = joins.lookup_left(out, joins.lay_out(names, ["data_name"], "coalitions"), [(NAME, "data_name")])
     return out.withColumn(TYPE, hit_label(col("coalition"), "Coalition", col(TYPE)))
 
 

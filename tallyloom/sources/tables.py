@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.names import col
@@ -14,7 +14,7 @@ from tallyloom.operators.resolve import distinct_on
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str = "parquet",
     schema: str | None = None,
     overrides: Mapping[str, str] | None = None,
@@ -42,21 +42,32 @@ def read_table_set(
     overrides: Mapping[str, str] | None = None,
     suffix: str = "",
     multi_line: bool = False,
+    row_order: bool = False,
 ) -> dict[str, DataFrame]:
-    """All screens of a submission: ``<root>/<name><suffix>`` each."""
-    return {n: read_table(spark, f"{root}/{n}{suffix}", fmt, overrides=overrides, multi_line=multi_line) for n in names}
+    """All screens of a submission: ``<root>/<name><suffix>`` each. ``row_order`` adds the place of every row."""
+    out = {n: read_table(spark, f"{root}/{n}{suffix}", fmt, overrides=overrides, multi_line=multi_line) for n in names}
+    return {n: with_row_order(df, fmt) for n, df in out.items()} if row_order else out
 
 
-def with_row_order(df: DataFrame) -> DataFrame:
-    """Source position of every row of a Parquet scan: file, then row within the file.
+def with_row_order(df: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """Source position of every row of a scan: file, then row within the file.
 
-    Needed where the first or last row counts; stable whatever the splits.
+    Needed where the first or last row counts; stable whatever the splits. Parquet numbers its rows. For text formats
+    the rows of each split are counted first; a split's rows then start at the sum over the splits before it.
     """
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias("source_path"),
-        F.col("_metadata.row_index").alias("row_ix"),
+    path = F.col("_metadata.file_path")
+    if fmt == "parquet":
+        return df.select("*", path.alias("source_path"), F.col("_metadata.row_index").alias("row_ix"))
+    # Within a task ids rise by one per row, and a split is read in one stretch.
+    numbered = df.select(
+        "*", path.alias("source_path"), F.col("_metadata.file_block_start").alias("__split"), F.monotonically_increasing_id().alias("__id")
     )
+    splits = numbered.groupBy("source_path", "__split").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    before = Window.partitionBy("source_path").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("source_path", "__split", "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    placed = numbered.join(starts, ["source_path", "__split"])
+    row = (F.col("__before") + F.col("__id") - F.col("__first")).alias("row_ix")
+    return placed.select(*[col(c) for c in df.columns], "source_path", row)
 
 
 def read_lookup(
@@ -73,14 +84,18 @@ def read_lookup(
 
 def read_with_lineage(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str = "parquet",
     date_regex: str | None = r"_(\d{8})\.",
     date_format: str = "yyyyMMdd",
+    level: int = -1,
 ) -> DataFrame:
-    """Extract files by glob, each row with its file name and the pull date in that name."""
+    """Extract files by glob, each row with its file name and the pull date in that name.
+
+    ``level`` says which part of the path is the extract's name: -1 the file, -2 its folder.
+    """
     df = read_table(spark, path, fmt)
-    out = df.select("*", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"))
+    out = df.select("*", F.element_at(F.split(F.col("_metadata.file_path"), "/"), level).alias("source_file"))
     if date_regex:
         text = F.regexp_extract("source_file", date_regex, 1)
         out = out.withColumn("pull_date", F.try_to_timestamp(text, F.lit(date_format)).cast("date"))

@@ -252,3 +252,38 @@ def test_served_categories_with_missing_ones(spark, rows):
     assert rows(arp_briefing.served_entities(arp, external), "name", "cultspec") == [("A", "g"), ("Ext", "General")]
     assert rows(arp_briefing.served_entities(arp, external, compat=True), "name", "cultspec") == [("A", "NA***g"), ("B", "NA"), ("Ext", "General")]
     assert rows(arp_briefing.organisation_amounts(external)) == [("Ext", "AK", "$0"), ("Total funding", "", "$0")]
+
+
+def test_arp_briefing_counts_once(spark, rows, tmp_path):
+    """All tables of the job against the functions that count for themselves."""
+    base = [(2024, s, st, n, c, k, u, p) for s in ("AL", "AK", "??") for st in ("DV", "SA", "Covid", "ARP Unspecified") for n, c, k, u, p in (
+        ("A", "c", "Shelter", "g", forms.ARP), ("A", "c", "Shelter", None, forms.ARP), ("A", "c", "Coalition", "g", forms.CORE),
+        ("B", None, None, "", forms.ARP)) if (s, st) != ("AK", "SA")]
+    part = spark.createDataFrame(base, "year int, state string, stream string, name string, city string, shelter string, underserved string, ProgAcronym string")
+    part = part.withColumns({c: F.lit(None).cast("string") for c in arp_briefing.BASE if c not in part.columns} | {"urban": F.lit("Rural")})
+    part = part.select(*arp_briefing.BASE)
+    regions = spark.createDataFrame([("AL", "Region 1"), ("AK", "Region 2")], "`State Abb` string, `HHS Region` string")
+    lookups = {
+        "regions": regions,
+        "funding": spark.createDataFrame([("State", "Sexual Assault Supplemental", 5)], "`Grantee Type` string, `Grant Program Type` string, Amount int"),
+        "external": spark.createDataFrame([("2024", "AK", "Ext", "-")], "year string, state string, subawardee string, amount string"),
+        "wide": spark.createDataFrame([("AL", 2024, forms.ARP, "State", "Submitted", "Empty")],
+                                      "State string, Year int, `Program Acronym` string, `Grant Type` string, CodeTxt string, ppr_completeness string"),
+    }
+    b = arp_briefing.ArpBriefing(regions=("Region 1", "Region 2"))
+    arp_briefing.run([part], lookups, b, str(tmp_path), "v1", "test")
+    arp = arp_briefing.arp_subawards([part])
+
+    def published(t):
+        return rows(publish.read_version(spark, str(tmp_path), "arp_briefing", t))
+
+    assert published("StreamCounts") == rows(arp_briefing.stream_counts(arp))
+    assert published("RegionByStream") == rows(arp_briefing.region_by_stream(arp, regions, b))
+    assert published("AwardSummary") == rows(arp_briefing.award_summary(arp, lookups["funding"]))
+    assert published("SubmissionMatrix") == rows(arp_briefing.submission_matrix(
+        arp, publish.read_version(spark, str(tmp_path), "arp_briefing", "Status"), regions, None, b))
+    assert published("ShelterCounts") == rows(spark.createDataFrame(
+        [(2024, arp_briefing.STREAM_LABELS[s], r, n) for s in ("DV", "SA", "Covid", "ARP Unspecified")
+         for r, n in (("Region 1", 2), ("Region 2", 2), (None, 2)) if (r, s) != ("Region 2", "SA")], "y int, s string, r string, n int"))
+    coalition = {(r[1], r[2]): r[3] for r in published("CoalitionCounts") if r[0] == 2024}
+    assert coalition["ARP SA", "Region 2"] == 0 and coalition["ARP SA", "Region 1"] == 1

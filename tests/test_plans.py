@@ -81,3 +81,45 @@ def test_scans_read_what_they_need(spark):
     assert "l_extendedprice" in text and "l_shipdate" not in text and "l_tax" not in text
     text = load()[0]["lookup_left_diffname"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(s_acctbal,5000.0)" in text
+
+
+def test_laid_out_lookups_are_read_without_a_shuffle(no_broadcast, rows):
+    fact = no_broadcast.range(40).select((F.col("id") % 7).alias("k, odd"), "id").withColumn("k, odd", F.nullif("k, odd", F.lit(5)))
+    dim = no_broadcast.range(6).select(F.col("id").alias("key"), F.col("id").cast("string").alias("na.me"))
+    laid = joins.lay_out(dim, ["key"])
+    out = joins.lookup_left(fact, laid, [("k, odd", "key")])
+    assert plan(out).count("Exchange hashpartitioning") == 1
+    assert plan(joins.lookup_left(fact, dim, [("k, odd", "key")])).count("Exchange hashpartitioning") > 1
+    assert rows(out) == rows(joins.lookup_left(fact, dim, [("k, odd", "key")]))
+    with_null = joins.lay_out(dim.withColumn("key", F.nullif("key", F.lit(2))), ["key"])
+    assert with_null.null_keys and not laid.null_keys
+    met = joins.lookup_left(fact, with_null, [("k, odd", "key")])
+    assert rows(met.where("`k, odd` IS NULL").select("`na.me`").distinct()) == [("2",)]
+    with pytest.raises(ValueError, match="not unique"):
+        joins.lay_out(dim.unionByName(dim), ["key"])
+    with pytest.raises(ValueError, match="laid out by"):
+        joins.lookup_left(fact, laid, [("id", "na.me")])
+
+
+@needs_data
+def test_checked_lookups_cost_one_shuffle(no_broadcast):
+    """Each of the two lookups was shuffled twice in every table."""
+    no_broadcast.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        queries = load()[0]
+        assert plan(queries["core_funding_by_type"](no_broadcast, SF)).count("Exchange hashpartitioning") <= 13
+        assert plan(queries["sum_by"](no_broadcast, SF)).count("Exchange hashpartitioning") <= 7
+    finally:
+        no_broadcast.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@needs_data
+def test_briefing_tables_read_one_base(no_broadcast):
+    no_broadcast.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        queries = load()[0]
+        for name in ("arp_coalition_counts", "arp_expected_subaward_reports", "arp_status_counts", "states_status_counts"):
+            text = plan(queries[name](no_broadcast, SF))
+            assert text.count("Exchange hashpartitioning") <= 15 and text.count("FileScan") <= 5, name
+    finally:
+        no_broadcast.conf.set("spark.sql.adaptive.enabled", "true")

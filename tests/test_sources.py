@@ -137,3 +137,46 @@ def test_a_failed_history_run_leaves_the_old_version(spark, root, rows, monkeypa
     assert rows(publish.read_history(spark, root, "h")) == [(1, "a"), (2, "b")]
     publish.publish_periods(df.withColumn("v", F.lit("new")).where("y = 2"), df, root, "h", "v3", "", "y")
     assert rows(publish.read_history(spark, root, "h")) == [(2, "new")]
+
+
+@pytest.mark.parametrize("split", [64, 1000, 1 << 20])
+def test_rows_of_csv_are_numbered_whatever_the_splits(spark, root, split):
+    import pathlib
+
+    want = {}
+    for f, n in (("a.csv", 0), ("b.csv", 1), ("c.csv", 700), ("d.csv", 33)):
+        lines = [f"{f}-{i},{'x' * (i % 37)}" for i in range(n)]
+        pathlib.Path(root, f).write_text("\n".join(["k,v", *lines]) + "\n")
+        want |= {line.split(",")[0]: i for i, line in enumerate(lines)}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        df = tables.with_row_order(tables.read_table(spark, root, "csv"), "csv")
+        assert df.columns == ["k", "v", "source_path", "row_ix"]
+        got = {r.k: (r.row_ix, r.source_path.rsplit("/", 1)[1]) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {k: i for k, (i, _) in got.items()} == want
+    assert all(k.startswith(f) for k, (_, f) in got.items())
+
+
+def test_only_unread_files_are_read(spark, root, rows):
+    from tallyloom.sources import ledger
+
+    def put(name, n):
+        spark.range(n).coalesce(1).write.mode("overwrite").parquet(f"{root}/in/{name}")
+
+    where, book = f"{root}/in/*/*.parquet", f"{root}/ledger"
+    put("e_20230131.parquet", 3)
+    put("e_undated.parquet", 2)
+    df, files = ledger.read_unread(spark, where, book, level=-2)
+    assert [str(r[1]) for r in rows(df.groupBy("source_file", "pull_date").count(), "source_file", "pull_date")] == ["2023-01-31", "None"]
+    assert len(files) == 2 and len(ledger.read_unread(spark, where, book)[1]) == 2  # not recorded, so read again
+    ledger.record(spark, book, files, "one")
+    assert ledger.read_unread(spark, where, book) == (None, [])
+    put("e_20230201.parquet", 1)
+    put("e_undated.parquet", 5)  # changed since
+    df, files = ledger.read_unread(spark, where, book, level=-2)
+    assert rows(df.groupBy("source_file").count()) == [("e_20230201.parquet", 1), ("e_undated.parquet", 5)]
+    ledger.record(spark, book, files, "two")
+    assert rows(ledger.recorded(spark, book).groupBy("batch").count()) == [("one", 2), ("two", 2)]
