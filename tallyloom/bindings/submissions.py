@@ -263,6 +263,23 @@ def states_history_merged_programs(spark, d):
     return out.select("Grant Type", "State", "Year", "EIN", "Element", "Value")
 
 
+@query(
+    "states_history_last_by_position",
+    CLEAN + f""", placed AS (
+      {" UNION ALL ".join(f"SELECT row_ix, kind, fy, postal, ein, 'C{i}' AS element, CAST(m{i} AS VARCHAR) AS v FROM rows" for i in range(len(GROUPS)))}
+      UNION ALL SELECT row_ix, kind, fy, postal, ein, 'COMMENTS', comment FROM rows
+      UNION ALL SELECT row_ix, kind, fy, postal, ein, 'SUBAWARDEE_SHELTER_TOTAL', CAST(shelter AS VARCHAR) FROM rows WHERE kind = 'State'
+      UNION ALL SELECT row_ix, kind, fy, postal, ein, 'SUBAWARDEE_NONSHELTER_TOTAL', CAST(other AS VARCHAR) FROM rows WHERE kind = 'State')
+    SELECT kind AS "Grant Type", postal AS "State", fy AS "Year", ein AS "EIN", element AS "Element", v AS "Value" FROM placed
+    QUALIFY row_number() OVER (PARTITION BY kind, postal, fy, ein, element ORDER BY row_ix DESC) = 1""",
+)
+def states_history_last_by_position(spark, d):
+    clean, _, resolved = resolved_submissions(spark, d)
+    long = formula.long_table(resolved, subawards(spark, clean, resolved), lookup(spark), FORM, ordered=True)
+    out = formula.merge_long_history(None, long, clean["Screen-1"], by_program=False)
+    return out.select("Grant Type", "State", "Year", "EIN", "Element", "Value")
+
+
 def _client_total(parts: list[str]) -> str:
     return f"""nullif({" + ".join(f"coalesce(CAST({p} AS DOUBLE), 0)" for p in parts)}, 0)"""
 

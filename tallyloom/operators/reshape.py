@@ -95,17 +95,24 @@ def crosswalk_long(
     attributes: Sequence[str] = (),
     extra: Sequence[str] = (),
     value: str = "value",
+    position: str | None = None,
 ) -> DataFrame:
     """Long table of the columns the crosswalk knows, with their element and attributes.
 
     ``extra`` columns are not in the crosswalk and are their own element. Names match in any
     case. Rows without an element are dropped; a name listed twice gives a row per entry.
+    ``position`` names a column for the place of the value's column in ``df``.
     """
     candidates = [c for c in df.columns if c not in ids]
     known = {n.upper() for n in matching_values(xw, name, candidates, name, fold=True)}
     own = {e.upper() for e in extra}
     chosen = [c for c in candidates if c.upper() in known or c.upper() in own]
-    long = to_long(df, ids, chosen, "variable", value).withColumn("variable", F.upper("variable"))
+    long = to_long(df, ids, chosen, "variable", value)
+    placed = []
+    if position:
+        at = F.array_position(F.array(*[F.lit(c) for c in chosen]), F.col("variable"))
+        long, placed = long.withColumn(position, at.cast("int")), [position]
+    long = long.withColumn("variable", F.upper("variable"))
     wanted = sorted({c.upper() for c in chosen})
     dim = xw.select(
         F.upper(col(name)).alias("__name"), *[col(a) for a in [element, *attributes]]
@@ -115,7 +122,7 @@ def crosswalk_long(
     return (
         joined.withColumn(element, named)
         .where(col(element).isNotNull())
-        .select(*cols(ids), *cols(attributes), col(element), col(value))
+        .select(*cols(ids), *cols(attributes), col(element), col(value), *cols(placed))
     )
 
 

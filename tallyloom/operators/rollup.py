@@ -13,6 +13,7 @@ from tallyloom.functions.names import col, cols
 from tallyloom.functions.values import filled
 from tallyloom.operators.joins import lookup_left, null_safe_join
 from tallyloom.operators.resolve import top_n_per_group
+from tallyloom.sources.staging import stage
 
 
 def count_by(df: DataFrame, by: Sequence[str], alias: str = "n") -> DataFrame:
@@ -244,7 +245,9 @@ def concat_distinct(
 
 
 def set_count(df: DataFrame, columns: Sequence[str], alias: str = "sum") -> DataFrame:
-    """The distinct values of a projection with their number on every row."""
-    members = df.select(*cols(columns)).distinct()
-    size = members.agg(F.count(F.lit(1)).alias(alias))
-    return members.withColumn(alias, size.scalar())
+    """The distinct values of a projection with their number on every row.
+
+    The distinct values are written once, and their number is read off what was written.
+    """
+    members = stage(df.select(*cols(columns)).distinct())
+    return members.withColumn(alias, F.lit(members.count()).cast("long"))

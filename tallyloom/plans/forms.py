@@ -73,8 +73,11 @@ COALITION_PERIODS = [
     ("2023", CORE), ("2023", ARP), ("2024", CORE), ("2024", ARP),
 ]
 
-# Headers that occur twice in an extract.
+# Headers that occur twice in an extract, and what the lookup calls them.
 _H02 = "H-02 What does the FVPSA grant allow you to do that you wouldn¿t be able to do without this funding?"
+_H02_AGAIN = "H-02 What does the FVPSA grant allow you to do that you wouldn¿t be able to do without this funding?.1"
+_H02_49 = "H-02 WHAT DOES THE FVPSA GRANT ALLOW YOU TO DO THAT YOU WOULDN¿T BE ABLE TO DO WITHOUT THIS FUNDING?...49"
+_H02_50 = "H-02 WHAT DOES THE FVPSA GRANT ALLOW YOU TO DO THAT YOU WOULDN¿T BE ABLE TO DO WITHOUT THIS FUNDING?...50"
 _H03 = (
     "H-03 Describe any efforts supported in whole or in part by your FVPSA grant to meet the needs of underserved "
     "populations in your community, including populations underserved because of ethnic, racial, cultural or language "
@@ -99,7 +102,7 @@ class StateForm:
 
 
 STATES_V6 = StateForm(repairs={_H02: [_H03]})
-STATES_V8 = StateForm(question_names={_H02: _H02.upper() + "...49", _H02 + ".1": _H02.upper() + "...50"})
+STATES_V8 = StateForm(question_names={_H02: _H02_49, _H02_AGAIN: _H02_50})
 
 # Coalition form sections.
 SECTIONS = {
@@ -118,16 +121,16 @@ ACTIVITY_FAMILIES = {
     "Short Response": "Short Response (Involved and Highly Involved only) - ",
     "Number of People Trained": "Number of People Trained - ",
 }
-_TYPES = "Types of Activities,FVPSA Summary of Activities,"
-_REACHED = (
-    "Number of People Reached &lt;BR&gt;(Training /TA only),"
-    "FVPSA Underserved and culturally-specific populations Summary of Activities,"
-)
+# Headers of the summary of activities, as they come and as they are meant.
 ACTIVITY_REPAIRS = {
-    _TYPES + "R19C2": _TYPES + "R9C2",
-    _TYPES + "R19C2.1": _TYPES + "R19C2",
-    _REACHED + "RvC3": _REACHED + "R33C3",
-    _REACHED + "RvC3.1": _REACHED + "R31C3",
+    "Types of Activities,FVPSA Summary of Activities,R19C2":
+        "Types of Activities,FVPSA Summary of Activities,R9C2",
+    "Types of Activities,FVPSA Summary of Activities,R19C2.1":
+        "Types of Activities,FVPSA Summary of Activities,R19C2",
+    "Number of People Reached &lt;BR&gt;(Training /TA only),FVPSA Underserved and culturally-specific populations Summary of Activities,RvC3":
+        "Number of People Reached &lt;BR&gt;(Training /TA only),FVPSA Underserved and culturally-specific populations Summary of Activities,R33C3",
+    "Number of People Reached &lt;BR&gt;(Training /TA only),FVPSA Underserved and culturally-specific populations Summary of Activities,RvC3.1":
+        "Number of People Reached &lt;BR&gt;(Training /TA only),FVPSA Underserved and culturally-specific populations Summary of Activities,R31C3",
 }
 
 

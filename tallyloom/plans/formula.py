@@ -168,15 +168,23 @@ def with_fund_totals(resolved: DataFrame, subawards: DataFrame) -> DataFrame:
     )
 
 
+#: Position of an element's column in the wide submission, where a long table keeps its order.
+COLUMN_IX = "column_ix"
+
+
 def long_table(
-    resolved: DataFrame, subawards: DataFrame, lookup: DataFrame, form: StateForm
+    resolved: DataFrame, subawards: DataFrame, lookup: DataFrame, form: StateForm, ordered: bool = False
 ) -> DataFrame:
-    """One row per submission and element; fund totals exist for states only."""
+    """One row per submission and element; fund totals exist for states only.
+
+    ``ordered`` adds the place of every row: the position of its column, then the place of its submission.
+    """
     extra = [forms.SHELTER_TOTAL, forms.NONSHELTER_TOTAL]
     wide = rename_columns(with_fund_totals(resolved, subawards), form.question_names)
+    order = present(wide.columns, form.row_order) if ordered else []
     long = crosswalk_long(
-        wide, forms.ID_COLUMNS, lookup.withColumn("Element", F.upper("Element")),
-        attributes=forms.LOOKUP_ATTRIBUTES, extra=extra, value="Value",
+        wide, [*forms.ID_COLUMNS, *order], lookup.withColumn("Element", F.upper("Element")),
+        attributes=forms.LOOKUP_ATTRIBUTES, extra=extra, value="Value", position=COLUMN_IX if ordered else None,
     )
     kept = long.where(~(col("Element").isin(extra) & (col("GranteeTypeTxt") != "State")))
     return rename_columns(kept, forms.ID_NAMES)
@@ -185,12 +193,18 @@ def long_table(
 def merge_long_history(
     history: DataFrame | None, long: DataFrame, cover: DataFrame, by_program: bool = True, order_by: Sequence[str] = ("Value",)
 ) -> DataFrame:
-    """History without the years of the extract, plus the extract. ``by_program=False`` merges programs."""
+    """History without the years of the extract, plus the extract. ``by_program=False`` merges programs.
+
+    Of rows with one key the last counts: by position where the long table was built with its order, else by
+    ``order_by``.
+    """
     key = ["Grant Type", "State", "Year", "EIN", "Element"] + (["Program Acronym"] if by_program else [])
-    return merge_history(
-        history, long, "Year", cover.select(col("Fy").alias("Year")), key, order_by,
+    places = present(long.columns, [COLUMN_IX, *forms.ROW_ORDER])
+    merged = merge_history(
+        history, long, "Year", cover.select(col("Fy").alias("Year")), key, places or order_by,
         {"Element": unify_alias(col("Element"), NAME_ALIASES, "GRANTEENAME")},
     )
+    return merged.drop(*places)
 
 
 def wide_table(
@@ -282,7 +296,8 @@ def run(
     kept = stage_with(resolve_submissions(index))
     resolved = stage_with(decoded(counted_submissions(cover, metrics, kept, form)))
     subawards = stage_with(subaward_rows(clean["Screen-2"], lookups["cultspec_subawardee"], resolved, form.row_order))
-    long = stage_with(long_table(resolved, subawards, lookups["lookup"], form))
+    placed = stage_with(long_table(resolved, subawards, lookups["lookup"], form, ordered=True))
+    long = placed.drop(COLUMN_IX, *form.row_order)
     xw = lookups["crosswalk"].where(
         col("Meta Name Description").isNotNull() | col("Note").isNotNull()
     )
@@ -300,10 +315,10 @@ def run(
     }
     paths = publish(tables, root, "states_tribes", version, description)
     if history_path:
-        store_history(long, clean["Screen-1"], history_path, by_program)
+        store_history(placed, clean["Screen-1"], history_path, by_program)
         paths["History"] = history_path
     if history:
-        publish_history(long, clean["Screen-1"], root, history, version, description, by_program)
+        publish_history(placed, clean["Screen-1"], root, history, version, description, by_program)
     return paths
 
 

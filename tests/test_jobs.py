@@ -287,3 +287,40 @@ def test_arp_briefing_counts_once(spark, rows, tmp_path):
          for r, n in (("Region 1", 2), ("Region 2", 2), (None, 2)) if (r, s) != ("Region 2", "SA")], "y int, s string, r string, n int"))
     coalition = {(r[1], r[2]): r[3] for r in published("CoalitionCounts") if r[0] == 2024}
     assert coalition["ARP SA", "Region 2"] == 0 and coalition["ARP SA", "Region 1"] == 1
+
+
+def test_screens_of_several_files_have_one_order(spark, screens, lookups, tmp_path, rows):
+    """Two files per screen, as CSV in small splits: first names, last values and revisions follow file, then row."""
+    from tallyloom.sources import tables
+
+    for name, df in screens.items():
+        for part, rule in (("a", F.col("row_ix") <= 4), ("b", F.col("row_ix") > 4)):
+            one = df.where(rule).orderBy("row_ix").drop("row_ix").coalesce(1).write.option("header", True).option("quoteAll", True).option("escape", '"')
+            one.csv(f"{tmp_path}/in/{name}/{part}")
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "256")
+    try:
+        kinds = {"Fy": "int", "RevSeqNumber": "int", forms.AMOUNT: "decimal(18,2)"}
+        read = {n: tables.with_row_order(tables.read_table(spark, f"{tmp_path}/in/{n}/*", "csv", overrides=kinds), "csv") for n in screens}
+        cover = read["Screen-1"].orderBy("source_path", "row_ix")
+        assert [r["Rpt-Receipt-Id"] for r in cover.collect()] == [s[11] for s in SUBMISSIONS]
+        root = str(tmp_path / "out")
+        paths = formula.run(read, lookups, forms.StateForm(keys=KEYS), root, "v1", "test", history="states_history", roster=["AL"])
+    finally:
+        spark.conf.set(size, before)
+    resolved = publish.read_version(spark, root, "states_tribes", "OriginalFormat")
+    assert rows(resolved, "`Rpt-Receipt-Id`", "GranteeName") == [("R2", "Alpha & Co"), ("R5", "Gamma"), ("R6", "Tribe"), ("R7", "Tribe"), ("R9", "Tribe")]
+    history = publish.read_history(spark, root, "states_history")
+    long = spark.read.parquet(paths["LongFormat"])
+    assert sorted(history.columns) == sorted(long.columns)
+    assert rows(history.select(*long.columns)) == rows(long)
+
+
+def test_the_last_value_of_a_key_is_the_last_by_position(spark, rows):
+    long = spark.createDataFrame(
+        [("State", 2023, p, "AL", "e", "X", v, c, r) for p, v, c, r in (("A", "9", 1, 1), ("B", "10", 1, 3), ("C", None, 1, 2), ("D", "1", 0, 9))],
+        "`Grant Type` string, Year int, `Program Acronym` string, State string, EIN string, Element string, Value string, column_ix int, row_ix int")
+    cover = spark.createDataFrame([(2023,)], "Fy int")
+    assert rows(formula.merge_long_history(None, long, cover, by_program=False), "Value") == [("10",)]
+    assert rows(formula.merge_long_history(None, long.drop("column_ix", "row_ix"), cover, by_program=False), "Value") == [("9",)]
