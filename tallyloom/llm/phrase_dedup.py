@@ -10,9 +10,13 @@ a smaller id. Four passes over the texts, none of which compares documents with
    is the least document that has it; any other that has it loses all of it. What an owner loses, because a smaller
    document has the same windows in another run, is found once per run, by its windows. This confirms the
    recurring passages, and of copies only one has its windows compared.
-3. Documents are dealt into shards by id. A shard gets the confirmed runs of its own documents, with the phrase
-   each is anchored at, and compiles the phrases into an Aho-Corasick automaton.
-4. The shard's documents are streamed through the automaton, and each run at an occurrence is looked up.
+3. The phrases that confirmed runs are anchored at are dealt into shards of at most about ``shard_phrases``. A shard's
+   leading words, with its runs, are compiled into an Aho-Corasick automaton in every task.
+4. All documents are streamed through the automaton of each shard, where they lie; where it finds a phrase, the runs
+   there are compared with those of the shard. Nothing else says which documents hold a passage. Documents that lose
+   something then meet their spans, and are cut.
+
+A task holds one automaton, and the driver the phrases of one shard. Texts are shuffled only where words are removed.
 
 Defined cases: null and empty texts have no words, and stay; a null id counts as larger than all others;
 documents of fewer words than a window keep all; repeated rows (equal ids) do not remove each other; an empty
@@ -33,13 +37,15 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import col, words
 from tallyloom.llm.hashing import Filter, WordHashes, signed, windows
-from tallyloom.sources.staging import stage
+from tallyloom.sources.staging import release, stage
 
 LAST = (1 << 63) - 1
 #: Windows of a run, as many as a long has bits for. Longer runs are cut.
 RUN = 62
 #: Runs that a task remembers to have told.
-TOLD = 1_000_000
+TOLD = 200_000
+#: Words of a phrase that the automaton looks for.
+LEAD = 4
 
 
 def anchors(word_hashes: np.ndarray, width: int, phrase: int) -> np.ndarray:
@@ -76,11 +82,12 @@ def repeated(
     width: int = 50,
     phrase: int = 25,
     filter_bits: int = 1 << 26,
-    shard_bytes: int = 32 << 20,
+    shard_phrases: int = 100_000,
 ) -> DataFrame:
     """Per document ``doc_id, n_words, kept_text, n_removed, kept_sha256``; kept words joined by one space."""
     spark = df.sparkSession
     docs = df.select(F.coalesce(col(doc_id).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(col(text), F.lit("")).alias("text"))
+    docs = docs.withColumn("k", F.xxhash64("text"))  # tells two texts with one id apart
 
     def name_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
@@ -143,68 +150,119 @@ def repeated(
     loses = each_run.select("run", "owner", "windows").mapInPandas(may_lose, "run long, owner long, at int, window long")
     loses = loses.join(first, "window").filter("first < owner").groupBy("run").agg(F.bit_or(bit).alias("mask"))
     confirmed = each_run.join(loses, "run", "left").filter("owner < last OR mask IS NOT NULL")
-    confirmed = confirmed.select("run", "owner", F.coalesce("mask", F.lit(0).cast("long")).alias("mask"), "phrase")
-
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
-    # One table for a shard: its runs (kind 0, the run as id) and its documents (1), without nulls, which would make ids floats.
-    nothing = F.lit(0).cast("long")
-    known_runs = told.select(shard, "run").distinct().join(confirmed, "run")
-    known_runs = known_runs.select("shard", F.lit(0).alias("kind"), F.col("run").alias("id"), F.col("phrase").alias("text"), "owner", "mask")
-    every = docs.select(shard, F.lit(1).alias("kind"), "id", "text", nothing.alias("owner"), nothing.alias("mask"))
-    dealt = known_runs.unionByName(every).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    lead = F.substring_index("phrase", " ", LEAD).alias("lead")
+    confirmed = stage(confirmed.select("run", "owner", F.coalesce("mask", F.lit(0).cast("long")).alias("mask"), lead))
+    release(told, each_run, first)
+    shards = -(-confirmed.count() // shard_phrases)
+    spans = "id long, k long, start int, n int"
+    lost = spark.createDataFrame([], spans)
+    for shard in range(shards):
+        mine = confirmed.filter(F.pmod(F.xxhash64("lead"), F.lit(shards)) == shard).toPandas()
+        lost = lost.unionByName(stage(docs.mapInPandas(_stream(spark, mine, width, phrase), spans)))
+    lost = stage(lost.groupBy("id", "k").agg(F.collect_set(F.struct("start", "n")).alias("spans")))
+    losers = spark.sparkContext.broadcast(Filter.build(lost.select(F.xxhash64("id", "k").alias("h")), "h", filter_bits).words)
+
+    def split(hit: bool):
+        def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            some = Filter(losers.value)
+            for b in batches:
+                chosen = b[some.has(b["h"].to_numpy(np.int64)) == hit]
+                yield chosen[["id", "k", "text"]] if hit else _kept([(i, words(t), None) for i, t in zip(chosen["id"], chosen["text"], strict=True)])
+
+        return rows
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield _kept([(i, words(t), s) for i, t, s in zip(b["id"], b["text"], b["spans"], strict=True)])
+
+    marked = docs.withColumn("h", F.xxhash64("id", "k"))
+    whole = marked.mapInPandas(split(False), RESULT)
+    done = whole.unionByName(
+        marked.mapInPandas(split(True), "id long, k long, text string").join(lost, ["id", "k"], "left").select("id", "text", "spans")
+        .mapInPandas(cut, RESULT)
+    )
+    return done.select(F.nullif("id", F.lit(LAST)).alias("doc_id"), "n_words", "n_removed", "kept_text", "kept_sha256")
+
+
+RESULT = "id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
+
+
+def _kept(rows: list[tuple]) -> pd.DataFrame:
+    """What is left of documents, given as (id, words, spans)."""
+    out = []
+    for i, tokens, spans in rows:
+        gone = np.zeros(len(tokens), bool)
+        for s in spans if spans is not None else ():
+            gone[s["start"] : s["start"] + s["n"]] = True
+        kept = b" ".join(np.array(tokens, object)[~gone].tolist()) if gone.any() else b" ".join(tokens)
+        out.append((i, len(tokens), int(gone.sum()), kept.decode("utf-8", "surrogatepass"), hashlib.sha256(kept).hexdigest()))
+    return pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_text", "kept_sha256"])
+
+
+def _automaton(leads):
+    """An automaton over phrases' leading words; nothing to find where there are none."""
+    automaton = ahocorasick.Automaton()
+    for lead in leads:
+        automaton.add_word(f" {lead} ", lead.count(" ") + 1)
+    if len(automaton):
+        automaton.make_automaton()
+    return automaton
+
+
+def _stream(spark, shard: pd.DataFrame, width: int, phrase: int):
+    """Streams documents through one shard; gives the spans of words that go, as ``id, k, start, n``."""
+    shared = spark.sparkContext.broadcast(
+        (shard["lead"].unique().tolist(), *(shard[c].to_numpy(np.int64) for c in ("run", "owner", "mask")))
+    )
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, automaton, listed_runs, known = None, None, {}, WordHashes()
+        leads, run, owner, mask = shared.value
+        automaton, known = _automaton(leads), WordHashes()
+        order = np.argsort(run)
+        listed = run[order], owner[order], mask[order]
         for b in batches:
             out = []
-            for number, part in b.groupby("shard", sort=False):
-                if number != at:
-                    at, automaton, listed_runs = number, ahocorasick.Automaton(), {}
-                told = part[part["kind"] == 0]
-                listed_runs.update(zip(told["id"].tolist(), zip(told["owner"].tolist(), told["mask"].tolist(), strict=True), strict=True))
-                for p in told["text"]:
-                    automaton.add_word(f" {p} ", p.count(" ") + 1)
-                told = part[part["kind"] == 1]
-                if len(told) and len(automaton) and automaton.kind != ahocorasick.AHOCORASICK:
-                    automaton.make_automaton()
-                for i, t in zip(told["id"], told["text"], strict=True):
-                    tokens = words(t)
-                    gone = _gone(tokens, int(i), automaton, listed_runs, known, width, phrase)
-                    kept = b" ".join(w for w, g in zip(tokens, gone, strict=True) if not g) if gone.any() else b" ".join(tokens)
-                    out.append((i, len(tokens), int(gone.sum()), kept.decode("utf-8", "surrogatepass"), hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_text", "kept_sha256"])
-
-    done = dealt.mapInPandas(stream, "id long, n_words long, n_removed long, kept_text string, kept_sha256 string")
-    return done.select(F.nullif("id", F.lit(LAST)).alias("doc_id"), "n_words", "n_removed", "kept_text", "kept_sha256")
+            for i, k, t in zip(b["id"].tolist(), b["k"].tolist(), b["text"], strict=True):
+                gone = _gone(words(t), i, automaton, listed, known, width, phrase)
+                edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
+                out += [(i, k, s, e - s) for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
+            yield pd.DataFrame(out, columns=["id", "k", "start", "n"])
+
+    return stream
 
 
 def _gone(
-    tokens: list[bytes], doc: int, automaton, listed: dict[int, tuple[int, int]], known: WordHashes, width: int, phrase: int
+    tokens: list[bytes], doc: int, automaton, listed: tuple[np.ndarray, np.ndarray, np.ndarray], known: WordHashes, width: int, phrase: int
 ) -> np.ndarray:
-    """Words covered by a window that a smaller document has."""
+    """Words covered by a window that a smaller document has, as far as the automaton's phrases tell."""
     n = len(tokens)
     gone = np.zeros(n, bool)
     if n < width or not len(automaton):
         return gone
-    found = list(automaton.iter(f" {_spoken(tokens)} "))
+    text = f" {_spoken(tokens)} "
+    found = [(end, k) for end, k in automaton.iter(text)]
     if not found:
         return gone
-    # Positions of the words' last characters, to turn places in the string into words.
-    ends = np.cumsum([len(w.decode("utf-8", "surrogatepass")) + 1 for w in tokens])
+    # A lead ends with the blank after its last word; as many blanks lie before as there are words.
+    blanks = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
     near = np.zeros(n - width + 1, bool)
     for end, k in found:
-        last = int(np.searchsorted(ends, end))
-        near[max(0, last + 1 - width) : max(0, last - k + 2)] = True
+        at = int(np.searchsorted(blanks, end)) - k  # the phrase's first word; windows that hold the phrase start by then
+        near[max(0, at + phrase - width) : at + 1] = True
     hashes = known.of(tokens)
+    named = anchors(hashes, width, phrase)
     whole = signed(windows(hashes, width))
-    for s, e in runs(anchors(hashes, width, phrase)):
-        if near[s] and (run := listed.get(run_hash(whole[s:e]))):
-            owner, mask = run
-            if owner < doc:
+    run, owners, masks = listed
+    for s, e in runs(named):
+        if not near[s]:
+            continue
+        h = run_hash(whole[s:e])
+        place = int(np.searchsorted(run, h))
+        if place < len(run) and run[place] == h:
+            if owners[place] < doc:
                 gone[s : e - 1 + width] = True
             else:
+                mask = int(masks[place])
                 for at in range(e - s):
                     if mask >> at & 1:
                         gone[s + at : s + at + width] = True

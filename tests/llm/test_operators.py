@@ -112,6 +112,23 @@ def test_phrase_dedup_removes_what_brute_force_removes(docs, rows_of_docs):
     assert as_rows(phrase_dedup.repeated(docs), "doc_id", "n_words", "n_removed", "kept_text", "kept_sha256") == want
 
 
+def test_phrase_dedup_in_several_shards(docs):
+    """Whatever the shards, each document is streamed through all of them."""
+    one = as_rows(phrase_dedup.repeated(docs), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert as_rows(phrase_dedup.repeated(docs, shard_phrases=7), "doc_id", "n_words", "n_removed", "kept_sha256") == one
+
+
+def test_automata_without_words_remove_nothing(docs, monkeypatch):
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(phrase_dedup)
+    monkeypatch.setattr(phrase_dedup, "_automaton", lambda leads: phrase_dedup.ahocorasick.Automaton())
+    try:
+        assert phrase_dedup.repeated(docs).filter("n_removed > 0").count() == 0
+    finally:
+        cloudpickle.unregister_pickle_by_value(phrase_dedup)
+
+
 # -- quality rules
 
 
