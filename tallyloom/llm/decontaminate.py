@@ -8,11 +8,19 @@ value of the item must then meet one and the same value of the document wherever
 contaminated by an item if it has ``coverage`` of the item's windows and ``consistency`` of its slot values
 agree. So a question with other numbers and names is found, and two unlike fillings of one form are not.
 
-Documents are known by two hashes of their text, so copies count once and no text is shuffled to be matched.
-
-Defined cases: a null or empty text has no windows; items shorter than a window are one window of their own
-length, and items with fewer than ``literals`` ordinary words are never matched; repeated rows and copies get
-the same verdict; an empty table or benchmark finds nothing. Other columns pass through ``drop_contaminated``.
+Beside it stands a literal template, the lower-cased tokens themselves, which needs no slots: it finds copies whose
+capitals differ, and so names look like words, and items that are mostly numbers and names. A window with fewer than
+``literals`` ordinary words says too little as a template; it counts literally only. An item without any typed window
+is found where all its literal windows stand; another where ``coverage`` of either kind do.
+
+Documents are known by two hashes of their text, so copies count once and no text is shuffled to be matched. Items are
+known by their text and id.
+
+Defined cases: a null or empty text, of a document or an item, has no windows and matches nothing; items shorter than a
+window are one window of their own length, so that an item of one word is found wherever the word stands; a null id
+labels its item like any other; very long texts are read whole; repeated rows, copies and repeated items get one
+verdict each, so there are no ties; an empty table or benchmark finds nothing. Other columns pass through
+``drop_contaminated``, whatever their names.
 """
 
 from __future__ import annotations
@@ -70,11 +78,20 @@ def slots(all_tokens: Column) -> Column:
     return F.filter(found, lambda s: s.kind.isNotNull())
 
 
-def _windows(hashes: Column, width: int) -> Column:
+def literal(all_tokens: Column) -> Column:
+    """Hashes of the tokens as they are, but for case and marks."""
+    return F.transform(all_tokens, lambda x: F.xxhash64(F.lower(F.ltrim(x, F.lit(MARKS)))))
+
+
+#: Kinds of windows.
+TYPED, LITERAL = 0, 1
+
+
+def _windows(hashes: Column, kind: int, width: int) -> Column:
     """Array of window hashes, by position."""
     n = F.size(hashes)
     at = F.when(n >= width, F.sequence(F.lit(1), n - width + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.xxhash64(F.lit(width), F.slice(hashes, i, width)))
+    return F.transform(at, lambda i: F.xxhash64(F.lit(kind), F.lit(width), F.slice(hashes, i, width)))
 
 
 def _text_keys(text: str) -> list[Column]:
@@ -93,40 +110,49 @@ def contaminated(
     coverage: float = 0.3,
     consistency: float = 0.5,
 ) -> DataFrame:
-    """Per distinct text (``k1, k2``) and item: windows found and in all, slots compared and agreeing, ``verbatim``."""
-    items = benchmark.select(col(item_id).alias("item_id"), tokens(item_text).alias("w")).withColumn("h", template(F.col("w")))
-    items = items.select("item_id", "h", slots(F.col("w")).alias("slots"), F.size("h").alias("n"))
-    items = stage(items.filter((F.col("n") - F.size("slots") >= literals) & F.col("item_id").isNotNull()))
+    """Per distinct text (``k1, k2``) and item: windows found and in all, slots compared and agreeing, ``verbatim``.
+
+    For what only the literal template finds, windows are literal ones and there are no slots.
+    """
+    named = benchmark.select(col(item_id).alias("item_id"), col(item_text).alias("t")).distinct()
+    named = named.select(F.xxhash64("item_id", "t").alias("item"), "item_id", tokens("t").alias("w")).filter(F.size("w") > 0)
+    items = stage(named.select("item", "item_id", template(F.col("w")).alias("h"), literal(F.col("w")).alias("g"), slots(F.col("w")).alias("slots"),
+                               F.size("w").alias("n")))
     widths = [r.width for r in items.select(F.least("n", F.lit(window)).alias("width")).distinct().collect()]  # at most `window` numbers
     if not widths:
         widths = [window]
 
-    def exploded(frame: DataFrame, keep: list[str], named: str) -> DataFrame:
-        parts = F.flatten(F.array(*[
-            F.transform(_windows(F.col("h"), w), lambda v, i, w=w: F.struct(i.alias("pos"), F.lit(w).alias("width"), v.alias("hash")))
-            for w in widths
-        ])) if len(widths) > 1 else None
-        if parts is None:
-            return frame.select(*keep, F.lit(widths[0]).alias("width"), F.posexplode(_windows(F.col("h"), widths[0])).alias(named, "hash"))
-        return frame.select(*keep, F.explode(parts).alias("x")).select(*keep, "x.width", F.col("x.pos").alias(named), "x.hash")
+    def exploded(frame: DataFrame, keep: list[str], at: str) -> DataFrame:
+        """A row per kind, width and window; only the hashes of one kind and width are unfolded at a time."""
+        kinds = [F.struct(F.lit(k).alias("kind"), F.lit(w).alias("width"), _windows(F.col(h), k, w).alias("hashes"))
+                 for w in widths for k, h in ((TYPED, "h"), (LITERAL, "g"))]
+        each = frame.select(*keep, F.inline(F.array(*kinds)))
+        return each.select(*keep, "kind", "width", F.posexplode("hashes").alias(at, "hash"))
 
-    own = exploded(items, ["item_id", "n", "slots"], "at").filter(F.col("width") == F.least("n", F.lit(window)))
+    own = exploded(items, ["item", "n", "slots"], "at").filter(F.col("width") == F.least("n", F.lit(window)))
     in_slots = F.size(F.filter("slots", lambda s: (s.pos >= F.col("at")) & (s.pos < F.col("at") + F.col("width"))))
-    own = stage(own.filter(F.col("width") - in_slots >= F.least(F.lit(literals), F.col("width"))).select("item_id", "at", "width", "hash"))
+    telling = (F.col("kind") == LITERAL) | (F.col("width") - in_slots >= literals)
+    own = stage(own.filter(telling).select("item", "kind", "at", "width", "hash"))
     # The tokens are a column of their own: inside a lambda their expression would run once per token.
-    docs = df.select(*_text_keys(text), tokens(text).alias("w")).select("k1", "k2", template(F.col("w")).alias("h"))
-    found = exploded(docs, ["k1", "k2"], "pos").join(own, ["hash", "width"])
+    docs = df.select(*_text_keys(text), tokens(text).alias("w")).select("k1", "k2", template(F.col("w")).alias("h"), literal(F.col("w")).alias("g"))
+    found = exploded(docs, ["k1", "k2"], "pos").join(own, ["hash", "kind", "width"])
     diagonals = stage(
-        found.groupBy("k1", "k2", "item_id", (F.col("pos") - F.col("at")).alias("shift"))
+        found.groupBy("k1", "k2", "item", "kind", (F.col("pos") - F.col("at")).alias("shift"))
         .agg(F.collect_set("at").alias("ats"), F.min("at").alias("lo"), (F.max("at") + F.max("width")).alias("hi"))
     )
-    covered = diagonals.select("k1", "k2", "item_id", F.explode("ats").alias("at")).groupBy("k1", "k2", "item_id").agg(
+    covered = diagonals.select("k1", "k2", "item", "kind", F.explode("ats").alias("at")).groupBy("k1", "k2", "item", "kind").agg(
         F.count_distinct("at").alias("windows")
     )
-    sizes = own.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
-    enough = stage(covered.join(sizes, "item_id").filter(
-        (F.col("windows") >= F.col("item_windows") * coverage) & (F.col("windows") >= F.least(F.lit(2), F.col("item_windows")))
-    ))
+    sizes = own.groupBy("item", "kind").agg(F.count(F.lit(1)).alias("item_windows"))
+    typed = own.filter(F.col("kind") == TYPED).select("item").distinct().withColumn("has_typed", F.lit(True))
+    counted = covered.join(sizes, ["item", "kind"]).join(typed, "item", "left")
+    share = F.when(F.col("has_typed"), F.lit(coverage)).otherwise(F.lit(1.0))
+    met = stage(counted.filter(
+        (F.col("windows") >= F.col("item_windows") * share) & (F.col("windows") >= F.least(F.lit(2), F.col("item_windows")))
+    ).drop("has_typed"))
+    spoken = met.filter(F.col("kind") == LITERAL).drop("kind")
+    enough = met.filter(F.col("kind") == TYPED).drop("kind")
+    diagonals = diagonals.filter(F.col("kind") == TYPED).drop("kind")
     # Slots: only of the texts and items that have enough windows.
     keys = stage(enough.select("k1", "k2").distinct())
     doc_slots = (
@@ -136,29 +162,38 @@ def contaminated(
         .select("k1", "k2", F.col("s.pos").alias("pos"), F.col("s.kind").alias("kind"), F.col("s.value").alias("value"))
         .distinct()
     )
-    item_slots = items.select("item_id", F.explode("slots").alias("s")).select(
-        "item_id", F.col("s.pos").alias("at"), F.col("s.kind").alias("kind"), F.col("s.value").alias("own_value")
+    item_slots = items.select("item", F.explode("slots").alias("s")).select(
+        "item", F.col("s.pos").alias("at"), F.col("s.kind").alias("kind"), F.col("s.value").alias("own_value")
     )
     aligned = (
-        diagonals.join(enough.select("k1", "k2", "item_id"), ["k1", "k2", "item_id"], "left_semi")
-        .join(item_slots, "item_id")
+        diagonals.join(enough.select("k1", "k2", "item"), ["k1", "k2", "item"], "left_semi")
+        .join(item_slots, "item")
         .filter((F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi")))
-        .select("k1", "k2", "item_id", "kind", "own_value", (F.col("at") + F.col("shift")).alias("pos"))
+        .select("k1", "k2", "item", "kind", "own_value", (F.col("at") + F.col("shift")).alias("pos"))
         .join(doc_slots, ["k1", "k2", "pos", "kind"])
     )
-    values = aligned.groupBy("k1", "k2", "item_id", "kind", "own_value").agg(
+    values = aligned.groupBy("k1", "k2", "item", "kind", "own_value").agg(
         F.count_distinct("value").alias("values"), F.min("value").alias("value")
     )
-    agreed = values.groupBy("k1", "k2", "item_id").agg(
+    agreed = values.groupBy("k1", "k2", "item").agg(
         F.count(F.lit(1)).alias("slots"),
         F.sum((F.col("values") == 1).cast("long")).alias("agreeing"),
         F.sum((F.col("values") > 1).cast("long") + ((F.col("values") == 1) & (F.col("value") != F.col("own_value"))).cast("long")).alias("changed"),
     )
-    judged = enough.join(agreed, ["k1", "k2", "item_id"], "left").na.fill(0, ["slots", "agreeing", "changed"])
-    return judged.filter(F.col("agreeing") >= F.col("slots") * consistency).select(
-        "k1", "k2", "item_id", "windows", "item_windows", "slots", "agreeing",
-        ((F.col("changed") == 0) & (F.col("windows") == F.col("item_windows"))).alias("verbatim"),
+    judged = enough.join(agreed, ["k1", "k2", "item"], "left").na.fill(0, ["slots", "agreeing", "changed"])
+    judged = judged.filter(F.col("agreeing") >= F.col("slots") * consistency).select(
+        "k1", "k2", "item", "windows", "item_windows", "slots", "agreeing",
+        ((F.col("changed") == 0) & (F.col("windows") == F.col("item_windows"))).alias("verbatim"), F.lit(TYPED).alias("kind"),
+    )
+    nothing = F.lit(0).cast("long")
+    spoken = spoken.select(
+        "k1", "k2", "item", "windows", "item_windows", nothing.alias("slots"), nothing.alias("agreeing"),
+        (F.col("windows") == F.col("item_windows")).alias("verbatim"), F.lit(LITERAL).alias("kind"),
     )
+    # Where both find an item, the typed windows and slots are told.
+    told = F.struct("windows", "item_windows", "slots", "agreeing")
+    both = judged.unionByName(spoken).groupBy("k1", "k2", "item").agg(F.min_by(told, "kind").alias("told"), F.max("verbatim").alias("verbatim"))
+    return both.join(items.select("item", "item_id"), "item").select("k1", "k2", "item_id", "told.*", "verbatim")
 
 
 def contamination_report(df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:

@@ -268,6 +268,56 @@ def test_decontamination_finds_other_numbers_and_names(spark):
     assert decontaminate.drop_contaminated(docs, benchmark.limit(0)).count() == len(rows)
 
 
+def test_decontamination_leaves_no_item_out(spark):
+    """Short items, items of numbers, items without an id, and copies in other capitals; unlike texts stay."""
+    names = "Alice Brown and Bob Green meet Carol White near Dover Castle while Eve Black waits for Frank Stone"
+    items = [("a", "12 + 30 = 42 apples"), ("b", "2 kg plus 7 kg gives"), (None, "this item has no id but ought to be found all the same"), ("c", names),
+             ("d", "1 2 3 4 5 6 7 8 9 10 11 12"), ("e", None), ("f", " ,;"), ("a", "12 + 30 = 42 apples")]
+    filler = "plain words that stand before and after it without any relation "
+    rows = [(1, filler + "12 + 30 = 42 apples. " + filler), (2, filler + "2 kg plus 7 kg gives nothing"), (3, filler + items[2][1]), (4, filler + names.lower()),
+            (5, names.upper() + " " + filler), (6, "so " + names), (7, filler * 4), (8, "12 + 30 = 43 apples and 2 kg plus 8 kg gives"),
+            (9, "numbers 1 2 3 4 5 6 7 8 are not all of them"), (10, "all: 1 2 3 4 5 6 7 8 9 10 11 12"), (11, filler * 30_000 + names.lower())]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, item int")
+    benchmark = spark.createDataFrame([(*i, "x") for i in items], "item_id string, text string, kind string")
+    got = decontaminate.contamination_report(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, "a"), (2, "b"), (3, None), (4, "c"), (5, "c"), (6, "c"), (10, "d"), (11, "c")}
+    assert len(got) == 8 and all(r.verbatim for r in got)
+    assert as_rows(decontaminate.drop_contaminated(docs, benchmark), "doc_id") == Counter({(7,): 1, (8,): 1, (9,): 1})
+
+
+def test_literal_windows_as_brute_force(spark):
+    """Items of digits and words without capitals: what either template finds, against windows counted by hand."""
+    r = np.random.default_rng(4)
+    vocabulary = ["ab", "cd", "ef", "gh", "7", "8"]
+    texts = [" ".join(r.choice(vocabulary, r.integers(1, 40))) for _ in range(60)]
+    items = [" ".join(r.choice(vocabulary, r.integers(1, 14))) for _ in range(25)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.contamination_report(
+        docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string"), consistency=0.0).collect()}
+
+    def cut(words, width):
+        return [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+
+    want = set()
+    for j, item in enumerate(items):
+        w = item.split()
+        width = min(6, len(w))
+
+        def kind(words):
+            return [("#unit" if i and words[i - 1].isdigit() and x in decontaminate.UNITS else "#number" if x.isdigit() else x) for i, x in enumerate(words)]
+
+        literal, typed = cut(w, width), [x for x in cut(kind(w), width) if sum(not y.startswith("#") for y in x) >= 3]
+        for i, text in enumerate(texts):
+            t = text.split()
+            here, there = set(cut(t, width)), set(cut(kind(t), width))
+            share = 0.3 if typed else 1.0
+            for mine, theirs in ((literal, here), (typed, there)):
+                n = sum(x in theirs for x in mine)
+                if mine and n >= share * len(mine) and n >= min(2, len(mine)):
+                    want.add((i, j))
+    assert want and got == want
+
+
 # -- WARC
 
 PAGES = [
