@@ -4,15 +4,17 @@ Patterns find e-mail addresses, IP addresses, card and phone numbers. They are w
 and anchored at the start of a run, so that long runs of one kind of character cost one pass. Places come from
 the lengths of what ``split`` and ``regexp_extract_all`` give in turn.
 
-Each entity found is protected: words in its neighbourhood that reveal it go as well. Over all contexts of
-all entities of the corpus, the pointwise mutual information of term and entity, ln(n(t,e) N / (n(t) n(e))), is
-set against the entity's own information ln(N / n(e)); their ratio is 1 for a term that is met with this entity
-only. Terms of at least ``support`` different contexts and a ratio of ``disclosure`` are spans of kind
-``term``. Contexts that are copies count once. ``sanitised`` replaces entities by their kind, keeps the first
-letter of a disclosing term (generalised), or removes it if the ratio is 1.
-
-Defined cases: null texts count as empty and have no spans; texts are read whole; repeated rows each get their
-own row; an empty table gives an empty result. Other columns pass through ``sanitised`` unchanged.
+Each entity found is protected: words that reveal it go as well. Over all documents of the corpus, the pointwise mutual
+information of term and entity, ln(n(t,e) N / (n(t) n(e))), with n as document frequencies, is set against the
+entity's own information ln(N / n(e)); their ratio is 1 for a term that is met only where the entity is. Terms that
+``support`` different texts have together with the entity, at a ratio of ``disclosure``, are spans of kind ``term``
+wherever they stand in the entity's documents. ``sanitised`` replaces entities by their kind, keeps the first letter
+of a disclosing term (generalised), or removes it if the ratio is 1.
+
+Defined cases: null texts count as empty and have no spans; texts are read whole, however long; repeated rows each get
+their own row, count each in the frequencies, and are one text for ``support``; spans of different kinds may overlap,
+and none can tie; an empty table gives an empty result. Other columns pass through ``sanitised`` unchanged, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -33,7 +35,8 @@ PATTERNS = (
 )
 #: What a text must contain to match at all; spares most texts the patterns.
 NEEDED = ("@", ".", None, "+")
-TERM = r"""(?<![^\s"'(])\p{L}{4,}(?=[,;.!?:)"']{0,3}(?:\s|$))"""
+#: A word of letters that stands by itself, marks aside.
+TERM = r"""(?<![^\s"'(])\p{L}[\p{L}\p{M}]*+(?=[,;.!?:)"']{0,3}(?:\s|$))"""
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 
 
@@ -58,10 +61,14 @@ def _valid(kind: Column, found: Column) -> Column:
     )
 
 
-def matches(df: DataFrame, doc_id: str, text: str, context: int) -> DataFrame:
+def _text_keys(t: Column) -> list[Column]:
+    return [F.xxhash64(t).alias("k1"), F.xxhash64(F.lit(1), t).alias("k2")]
+
+
+def matches(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """A row per match of any pattern, valid or not, and one with a null kind for texts without matches.
 
-    ``number, doc_id, kind, i, before`` (characters since the match before), ``found, left, right`` (context).
+    ``number, doc_id, k1, k2`` (hashes of the text), ``kind, i, before`` (characters since the match before), ``found``.
     """
     t = F.coalesce(col(text), F.lit(""))
     base = df.select(F.monotonically_increasing_id().alias("number"), col(doc_id).alias("doc_id"), t.alias("t"))
@@ -71,84 +78,83 @@ def matches(df: DataFrame, doc_id: str, text: str, context: int) -> DataFrame:
         none = F.array().cast("array<string>")
         cut.append(F.when(may, F.split("t", pattern, -1)).otherwise(none).alias(f"p{k}"))
         got.append(F.when(may, F.regexp_extract_all("t", F.lit(pattern), F.lit(0))).otherwise(none).alias(f"m{k}"))
-    parts = base.select("number", "doc_id", *cut, *got)
+    parts = base.select("number", "doc_id", *_text_keys(F.col("t")), *cut, *got)
 
     def rows(k: int) -> Column:
         pieces, found = F.col(f"p{k}"), F.col(f"m{k}")
         return F.transform(
             found,
             lambda m, i: F.struct(
-                F.lit(k).alias("kind"), i.alias("i"), F.length(F.get(pieces, i)).alias("before"), m.alias("found"),
-                F.right(F.get(pieces, i), F.lit(context)).alias("left"), F.left(F.get(pieces, i + 1), F.lit(context)).alias("right"),
-                F.length(F.get(pieces, i + 1)).alias("after"),
+                F.lit(k).alias("kind"), i.alias("i"), F.length(F.get(pieces, i)).alias("before"), m.alias("found")
             ),
         )
 
     every = F.concat(*[rows(k) for k in range(len(PATTERNS))])
-    return parts.select("number", "doc_id", F.explode_outer(every).alias("x")).select("number", "doc_id", "x.*")
-
-
-def _terms(text: str, offset: Column, cut_left: Column, cut_right: Column) -> Column:
-    """Array of (term, start) in a context; terms that the context's edge may have cut are left out."""
-    found, pieces = F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.split(text, TERM, -1)
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<term:string,start:int>>").alias("terms"))
-    walked = F.aggregate(
-        F.arrays_zip(pieces.alias("p"), found.alias("f")),
-        first,
-        lambda s, x: F.struct(
-            (s.at + F.length(x.p) + F.coalesce(F.length(x.f), F.lit(0))).alias("at"),
-            F.when(
-                x.f.isNotNull() & ~(cut_left & (s.at + F.length(x.p) == 0)) & ~(cut_right & (s.at + F.length(x.p) + F.length(x.f) >= F.length(text))),
-                F.concat(s.terms, F.array(F.struct(F.lower(x.f).alias("term"), (s.at + F.length(x.p)).alias("start")))),
-            ).otherwise(s.terms).alias("terms"),
-        ),
-    )
-    return F.transform(walked.terms, lambda x: F.struct(x.term.alias("term"), (x.start + offset).cast("long").alias("start")))
+    return parts.select("number", "doc_id", "k1", "k2", F.explode_outer(every).alias("x")).select("number", "doc_id", "k1", "k2", "x.*")
 
 
-def disclosing(valid: DataFrame, context: int, support: int, disclosure: float) -> DataFrame:
-    """Spans ``number, start, end, ratio`` of terms that reveal the entity next to them."""
-    entity = F.xxhash64("kind", F.lower("found")).alias("e")
-    sides = valid.select(
-        "number", entity, "left", "right", F.xxhash64("left", "right").alias("c"),
-        F.concat(
-            _terms("left", F.col("start") - F.length("left"), F.col("before") > context, F.lit(False)),
-            _terms("right", F.col("end"), F.lit(False), F.col("after") > context),
-        ).alias("terms"),
-    )
-    near = stage(sides.select("number", "e", "c", F.explode_outer("terms").alias("x")).select("number", "e", "c", "x.term", "x.start"))
-    # Copies of a context are one.
-    contexts = near.select("e", "c", "term").distinct()
-    n_e = contexts.groupBy("e").agg(F.count_distinct("c").alias("n_e"))
-    n_t = contexts.filter("term IS NOT NULL").select("e", "c", "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n_te = contexts.filter("term IS NOT NULL").groupBy("e", "term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= support)
-    total = n_e.agg(F.sum("n_e")).first()[0] or 1
-    n = F.lit(float(total))
+def disclosing_terms(held: DataFrame, texts: DataFrame, every_text: DataFrame, support: int, disclosure: float) -> DataFrame:
+    """``e, term, ratio``. ``held``: ``k1, k2, e, copies`` of entities in texts; ``texts``: those texts, each once.
+
+    Pairs are made within a document only, and only for entities that enough texts have. Frequencies of terms are
+    counted over ``every_text``, a column ``t`` of all documents, and folded in tasks before they are moved.
+    """
+    terms = texts.select("k1", "k2", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("t", F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
+    n_e = held.groupBy("e").agg(F.sum("copies").alias("n_e"))
+    n_te = held.join(terms, ["k1", "k2"]).groupBy("e", "term").agg(F.sum("copies").alias("n_te"), F.count(F.lit(1)).alias("texts"))
+    n_te = stage(n_te.filter(F.col("texts") >= support).drop("texts"))
+    words = every_text.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all("t", F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
+    n_t = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    n = F.lit(float(every_text.count()))
     ratio = F.log(F.col("n_te") * n / (F.col("n_t") * F.col("n_e"))) / F.log(n / F.col("n_e"))
-    strong = n_te.join(n_e, "e").join(n_t, "term").filter(F.col("n_e") < n).withColumn("ratio", ratio).filter(F.col("ratio") >= disclosure)
-    hit = near.join(stage(strong.select("e", "term", "ratio")), ["e", "term"])
-    return hit.groupBy("number", "start").agg(F.max(F.col("start") + F.length("term")).alias("end"), F.max("ratio").alias("ratio"))
+    both = n_te.join(n_e, "e").join(n_t, "term").filter(F.col("n_e") < n)
+    return both.withColumn("ratio", ratio).filter(F.col("ratio") >= disclosure).select("e", "term", "ratio")
 
 
-def _span_rows(df: DataFrame, doc_id: str, text: str, context: int, support: int, disclosure: float) -> tuple[DataFrame, DataFrame]:
+def disclosing(valid: DataFrame, every_text: DataFrame, support: int, disclosure: float) -> DataFrame:
+    """Spans ``k1, k2, start, end, ratio`` of terms that reveal an entity of their text."""
+    entity = F.xxhash64("kind", F.lower("found")).alias("e")
+    in_rows = valid.select("number", "k1", "k2", entity).distinct()
+    held = in_rows.groupBy("k1", "k2", "e").agg(F.count(F.lit(1)).alias("copies"))
+    often = held.groupBy("e").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support).select("e")
+    held = stage(held.join(often, "e"))
+    keys = held.select("k1", "k2").distinct()
+    texts = every_text.select(*_text_keys(F.col("t")), "t").join(keys, ["k1", "k2"], "left_semi")
+    texts = stage(texts.groupBy("k1", "k2").agg(F.any_value("t").alias("t")))
+    strong = stage(disclosing_terms(held, texts, every_text, support, disclosure))
+    wanted = held.join(strong, "e").groupBy("k1", "k2", "term").agg(F.max("ratio").alias("ratio"))
+    # Every word of these texts with its place: what lies before it is the sum of the pieces and words so far.
+    found, pieces = F.regexp_extract_all("t", F.lit(TERM), F.lit(0)), F.split("t", TERM, -1)
+    told = texts.join(wanted.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
+    each = told.select("k1", "k2", F.posexplode(F.arrays_zip(pieces.alias("p"), found.alias("f"))).alias("i", "x"))
+    each = each.select("k1", "k2", "i", F.length("x.p").alias("before"), F.col("x.f").alias("f"))
+    so_far = Window.partitionBy("k1", "k2").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    moved = F.coalesce(F.sum(F.col("before") + F.coalesce(F.length("f"), F.lit(0))).over(so_far), F.lit(0))
+    placed = each.withColumn("start", (moved + F.col("before")).cast("long")).filter("f IS NOT NULL")
+    placed = placed.select("k1", "k2", F.lower("f").alias("term"), "start", (F.col("start") + F.length("f")).alias("end"))
+    return placed.join(wanted, ["k1", "k2", "term"]).select("k1", "k2", "start", "end", "ratio")
+
+
+def _span_rows(df: DataFrame, doc_id: str, text: str, support: int, disclosure: float) -> tuple[DataFrame, DataFrame]:
     """Staged documents (``number, doc_id``) and spans (``number, kind, start, end, ratio``)."""
-    found = stage(matches(df, doc_id, text, context))
-    numbers = found.filter("kind IS NULL OR i = 0").select("number", "doc_id").distinct()
+    found = stage(matches(df, doc_id, text))
+    numbers = found.filter("kind IS NULL OR i = 0").select("number", "doc_id", "k1", "k2").distinct()
     before = Window.partitionBy("number", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     length = F.length("found")
     start = F.coalesce(F.sum(F.col("before") + length).over(before), F.lit(0)) + F.col("before")
     placed = found.filter("kind IS NOT NULL").withColumn("start", start.cast("long")).withColumn("end", (F.col("start") + length).cast("long"))
     valid = stage(placed.filter(_valid(F.col("kind"), F.col("found"))))
-    terms = disclosing(valid, context, support, disclosure)
+    every_text = df.select(F.coalesce(col(text), F.lit("")).alias("t"))
+    terms = stage(disclosing(valid, every_text, support, disclosure)).join(numbers.select("number", "k1", "k2"), ["k1", "k2"])
     base = valid.select("number", "kind", "start", "end", F.lit(None).cast("double").alias("ratio"))
     return numbers, base.unionByName(terms.select("number", F.lit(KINDS.index("term")).alias("kind"), "start", "end", "ratio"))
 
 
 def span_report(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", context: int = 80, support: int = 3, disclosure: float = 0.9
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", support: int = 3, disclosure: float = 0.9
 ) -> DataFrame:
     """Per document: counts per kind, a checksum of the entities' spans, and all spans as text."""
-    numbers, spans = _span_rows(df, doc_id, text, context, support, disclosure)
+    numbers, spans = _span_rows(df, doc_id, text, support, disclosure)
     grouped = spans.groupBy("number").agg(
         *[F.sum((F.col("kind") == k).cast("long")).alias(f"n_{x}") for k, x in enumerate(KINDS)],
         F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("s"),
@@ -168,13 +174,13 @@ def span_report(
 
 
 def sanitised(
-    df: DataFrame, text: str = "text", context: int = 80, support: int = 3, disclosure: float = 0.9
+    df: DataFrame, text: str = "text", support: int = 3, disclosure: float = 0.9
 ) -> DataFrame:
     """``df`` with entities replaced by ``[KIND]``, disclosing terms cut to their first letter or removed."""
     number = fresh(df, "number")
     numbered = stage(df.withColumn(number, F.monotonically_increasing_id()))
     keyed = numbered.select(col(number).alias("key"), col(text).alias("text"))
-    numbers, spans = _span_rows(keyed, "key", "text", context, support, disclosure)
+    numbers, spans = _span_rows(keyed, "key", "text", support, disclosure)
     grouped = (
         spans.join(numbers, "number").groupBy(F.col("doc_id").alias(number))
         .agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "ratio"))).alias(fresh(df, "spans")))

@@ -252,6 +252,55 @@ def test_sanitiser_takes_disclosing_terms(spark):
     assert sum("[EMAIL]" in t for t in out) == 44 and any("other" in t for t in out)
 
 
+def test_sanitiser_counts_over_the_corpus(spark):
+    """A common word beside an entity stays; a rare one far from it goes, wherever it stands; copies are no support."""
+    far = "words that fill the room between them " * 10
+    texts = [f"morning {k} greetings from ann@mail.example.org {far} {k} Zanzibar, and zanzibar" for k in range(5)]
+    texts += [f"good morning {k} and morning again" for k in range(200)] + ["copied Timbuktu of cid@mail.example.org"] * 6 + [None, ""]
+    df = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], "doc_id long, text string, term int").repartition(3)
+    out = {r.doc_id: r.text for r in sanitise.sanitised(df).collect()}
+    assert all("Zanzibar" not in out[k] and "zanzibar" not in out[k] and out[k].startswith("morning") for k in range(5))
+    assert all(out[k] == texts[k] for k in range(5, 205)) and all("Timbuktu" in out[k] and "[EMAIL]" in out[k] for k in range(205, 211))
+    spans = {r.doc_id: r.spans for r in sanitise.span_report(df).collect()}
+    at = [texts[0].index("Zanzibar"), texts[0].index("zanzibar")]
+    assert all(f"term:{x}:{x + 8}" in spans[0] for x in at) and "term" not in spans[10]
+
+
+def test_disclosure_as_brute_force(spark):
+    r = np.random.default_rng(3)
+    vocabulary, people = [f"w{c}" for c in "abcdefghijklmnop"], [f"p{k}@x.org" for k in range(4)]
+    texts = []
+    for k in range(80):
+        who = [p for p in people if r.random() < 0.12]
+        own = [vocabulary[people.index(p)] for p in who if r.random() < 0.9]
+        texts.append(" ".join([*who, *own, *r.choice(vocabulary[4:] if r.random() < 0.9 else vocabulary, 6), f"t{'abc'[k % 3]}"]))
+    texts += texts[:7]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n, strong = len(texts), set()
+    for p in people:
+        with_p = [t for t in texts if p in t.split()]
+        if len(set(with_p)) < 3:
+            continue
+        for w in {w for t in with_p for w in t.split() if "@" not in w}:
+            both, has = [t for t in with_p if w in t.split()], [t for t in texts if w in t.split()]
+            if len(set(both)) >= 3 and np.log(len(both) * n / (len(has) * len(with_p))) / np.log(n / len(with_p)) >= 0.5:
+                strong.add((p, w))
+    assert strong
+    want = {}
+    for i, t in enumerate(texts):
+        words, at = t.split(), 0
+        gone = {w for p, w in strong if p in words}
+        want[i] = set()
+        for w in words:
+            if w in gone:
+                want[i].add(f"term:{at}:{at + len(w)}")
+            at += len(w) + 1
+    got = {x.doc_id: {y for y in x.spans.split(",") if y.startswith("term")} for x in sanitise.span_report(df, disclosure=0.5).collect()}
+    assert got == want
+    from tests.test_plans import plan
+    assert "Python" not in plan(sanitise.span_report(df))
+
+
 # -- benchmark
 
 
