@@ -8,7 +8,8 @@ holds more than the cut can spare, such as a source with a third of all rows, th
 value along a hash of the row's number. The driver sees nothing but nodes and bins; no rows are moved.
 
 Defined cases: a null text has no bytes; null dimensions sort below all values; repeated rows are told
-apart by the number they get when the table is staged; an empty table has no rows in any shard. Other
+apart by the number they get when the table is staged, which also orders rows that tie in a dimension; very long
+texts count with their whole size, and shards are as equal as whole documents allow; an empty table has no rows in any shard. Other
 columns pass through ``shard_documents`` unchanged, whatever their names (a column ``shard`` is replaced).
 """
 

@@ -9,8 +9,9 @@ No source is sorted as a whole. Keys fall into ``bins`` ordered bins, whose word
 the bin in which a budget runs out is divided again, until it is a few documents, and only those are ordered.
 
 Defined cases: a null text has no words; a null source is a source of its own, the last in order; repeated
-rows share a key and are taken one by one; documents without words are never drawn, and ``mix`` drops them;
-an empty table gives an empty mix. Other columns pass through ``mix`` unchanged.
+rows share a key and are taken one by one, as rows whose keys tie are; documents without words are never drawn, and
+``mix`` drops them; very long texts count with all their words, and the last one drawn is taken whole if that
+comes nearer to the budget; an empty table gives an empty mix. Other columns pass through ``mix`` unchanged, whatever their names.
 """
 
 from __future__ import annotations

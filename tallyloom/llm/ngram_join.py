@@ -16,7 +16,9 @@ but no two documents that links connect fall apart: the components are those of
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; with fewer words than a
 shingle the whole text is one; a null id counts as larger than all others; repeated rows are linked with each
-other; an empty table gives an empty result. Other columns pass through ``keep_one`` unchanged.
+other; very long texts are read whole, and their sets are cut into blocks; no order is asked for, so that nothing
+can tie but ids, and ``keep_one`` keeps one row of those; an empty table gives an empty result. Other columns pass
+through ``keep_one`` unchanged, whatever their names.
 """
 
 from __future__ import annotations

@@ -19,8 +19,9 @@ a smaller id. Four passes over the texts, none of which compares documents with
 A task holds one automaton, and the driver the phrases of one shard. Texts are shuffled only where words are removed.
 
 Defined cases: null and empty texts have no words, and stay; a null id counts as larger than all others;
-documents of fewer words than a window keep all; repeated rows (equal ids) do not remove each other; an empty
-table gives an empty result. Other columns are not read.
+documents of fewer words than a window keep all; very long texts are read whole; repeated rows (equal ids) do not
+remove each other, so there are no ties; an empty table gives an empty result. Other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ LAST = (1 << 63) - 1
 RUN = 62
 #: Runs that a task remembers to have told.
 TOLD = 200_000
+#: Rows that a task gathers before it hands them on, about.
+GATHERED = 20_000
 #: Words of a phrase that the automaton looks for.
 LEAD = 4
 
@@ -123,8 +126,11 @@ def repeated(
                     told.add(run)
                     at = s + int(np.argmin(phrases[s : s + width - phrase + 1]))
                     out.append((i, run, _spoken(tokens[at : at + phrase]), whole[s:e]))
-            if len(told) > TOLD:
-                told.clear()
+                if len(out) >= GATHERED:
+                    yield pd.DataFrame(out, columns=["id", "run", "phrase", "windows"])
+                    out = []
+                if len(told) > TOLD:
+                    told.clear()
             yield pd.DataFrame(out, columns=["id", "run", "phrase", "windows"])
 
     # A task tells the phrase and the windows of a run once.

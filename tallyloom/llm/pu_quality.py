@@ -8,8 +8,9 @@ texts are p times as dense as positives, so the least ratio of the two over the
 The model is linear in bounded signals of a text's form and their squares. It is fitted on the driver to at
 most ``sample`` positives and ``sample`` unlabelled texts, of which only the signals leave the tasks.
 
-Defined cases: null and empty texts have signals of zero and are scored like any other; texts are read whole;
-repeated rows score alike; without trusted positives every score is 0; an empty table gives an empty result.
+Defined cases: null and empty texts have signals of zero and are scored like any other; texts are read whole, however
+long; repeated rows score alike, and scores may tie, as nothing is ranked; without trusted positives every score is 0;
+an empty table gives an empty result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -3,12 +3,14 @@
 Every document is measured once. Each measure's quartiles are sketched with Spark's mergeable quantile
 summaries (``percentile_approx``: partial summaries per task, merged after the shuffle, so a source that
 holds a third of all rows is summarised where its rows lie). A document fails a measure that lies further
-than ``reach`` spreads beyond the median of its own language and source. Groups under ``min_rows`` rows
-take the cutoffs of their language, and languages under ``min_rows`` those of the whole corpus.
+than ``reach`` spreads beyond the median of its own language and source. A group's quartiles are drawn towards those
+of its language, as if the language added ``min_rows`` rows to it, and a language's likewise towards the whole corpus:
+large groups keep their own, and no size is a jump.
 
 Defined cases: a null text counts as empty; an empty text has measures of zero and fails the fixed floor
-on words; null languages or sources are groups of their own; repeated rows are judged each by themselves
-and alike; an empty table gives an empty result. Other columns are never read, and whatever their names,
+on words; null languages or sources are groups of their own; very long texts are measured whole; repeated rows are
+judged each by themselves and alike, and there is nothing that could tie; an empty table gives an empty result. Other
+columns are never read, and whatever their names,
 they pass through ``keep_good`` unchanged.
 """
 
@@ -115,13 +117,14 @@ def cutoffs(measured: DataFrame, m: str, lang: str, source: str, reach: float, m
     by_lang = sketch("lang_key").select("n", F.col("lang_key").alias("l"), *[r.name for r in RULES]).alias("by_lang")
     all_rows = sketch().first()  # one row
     joined = own.join(by_lang, F.col("own.lang_key").eqNullSafe(F.col("by_lang.l")))
+    def towards(own: Column, n: Column, parent: Column) -> Column:
+        return F.transform(own, lambda x, i: (n * x + min_rows * F.get(parent, i)) / (n + min_rows))
+
     limits = []
     for r in RULES:
-        q = (
-            F.when(F.col("own.n") >= min_rows, F.col(f"own.{r.name}"))
-            .when(F.col("by_lang.n") >= min_rows, F.col(f"by_lang.{r.name}"))
-            .otherwise(F.array(*[F.lit(x) for x in all_rows[r.name] or (0.0,) * 3]))
-        )
+        of_all = F.array(*[F.lit(x) for x in all_rows[r.name] or (0.0,) * 3])
+        of_lang = towards(F.col(f"by_lang.{r.name}"), F.col("by_lang.n"), of_all)
+        q = towards(F.col(f"own.{r.name}"), F.col("own.n"), of_lang)
         up = F.greatest(q[2] - q[1], F.lit(r.slack)) * reach
         down = F.greatest(q[1] - q[0], F.lit(r.slack)) * reach
         low = q[1] - down if r.both else F.lit(None).cast("double")

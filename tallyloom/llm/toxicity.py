@@ -10,8 +10,9 @@ that cover the toxic texts twice over. Hits inside an exception phrase do not co
 the caller, and learned where a hit with its neighbour recurs in clean texts only. The summed weights, also in
 relation to the length, give the score through a logistic curve fitted to the same sample.
 
-Defined cases: null and empty texts score what a text without hits scores; texts are read whole; repeated
-rows score alike; without labelled rows of both kinds every score is 0; an empty table gives an empty result.
+Defined cases: null and empty texts score what a text without hits scores; texts are read whole, however long; repeated
+rows score alike; terms that tie in weight are ordered by their letters; without labelled rows of both kinds every
+score is 0; an empty table gives an empty result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ its own; only names that a finished task has returned are used, so a task that r
 Payloads of at least ``revisit_bytes`` bytes that are equal are stored once: the record of the smallest page id
 is the response, the others are revisits of it. Defined cases: a null payload is empty; a null URL has the key
 ``)``; rows that repeat a page id with the same payload are written each, with the same role; a null id is a
-revisit if any id has its payload; an empty table gives archives without records. Other columns are not read.
+revisit if any id has its payload; very long payloads are written whole, a record each; of equal payloads the least
+id is the response, and ids that tie share that role; captures that tie on a key all stand in the index; an empty
+table gives archives without records. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -145,6 +145,39 @@ def test_quality_measures_as_by_hand(docs, rows_of_docs):
     assert got == want
 
 
+@pytest.mark.parametrize(("reach", "min_rows"), [(1.0, 3), (2.0, 200), (0.5, 1)])
+def test_quality_cutoffs_as_brute_force(docs, rows_of_docs, reach, min_rows):
+    """Quartiles of each group, drawn towards its language's, and those towards all rows'."""
+    def share(rule, m):
+        return m[rule.top] / m[rule.bottom] if m[rule.bottom] else 0.0
+
+    def quartiles(values):
+        v = sorted(values)
+        return [v[max(0, -(-len(v) * q // 4) - 1)] for q in (1, 2, 3)]
+
+    measured = [(r, dict(zip(quality_rules.MEASURES, quality_rules.measure(r[1]), strict=True))) for r in rows_of_docs]
+    groups, langs = defaultdict(list), defaultdict(list)
+    for r, m in measured:
+        groups[r[2], r[3]].append(m)
+        langs[r[2]].append(m)
+
+    def towards(own, parent):
+        n = len(own)
+        return lambda rule: [(n * x + min_rows * y) / (n + min_rows) for x, y in zip(quartiles(share(rule, m) for m in own), parent(rule), strict=True)]
+
+    want = Counter()
+    for r, m in measured:
+        fails = m["n_words"] < 50 or 100 * m["n_repeat_words"] > 50 * m["n_words"]
+        of_group = towards(groups[r[2], r[3]], towards(langs[r[2]], lambda rule: quartiles(share(rule, x) for _, x in measured)))
+        for rule in quality_rules.RULES:
+            a, b, c = of_group(rule)
+            fails |= share(rule, m) > b + max(c - b, rule.slack) * reach
+            fails |= rule.both and share(rule, m) < b - max(b - a, rule.slack) * reach
+        want[r[0], not fails] += 1
+    assert {k for _, k in want} == {True, False}
+    assert as_rows(quality_rules.quality_report(docs, reach=reach, min_rows=min_rows), "doc_id", "kept") == want
+
+
 def test_quality_filter_agrees_with_the_report(docs):
     kept = quality_rules.keep_good(docs)
     assert kept.columns == docs.columns
@@ -178,6 +211,48 @@ def test_kd_shards_pass_columns(docs):
 # -- mixing
 
 
+@pytest.mark.parametrize("how", [{}, {"bins": 3, "few": 1}, {"weights": (1, 4), "share": 0.4, "seed": 9}])
+def test_mix_draws_the_least_keys_after_whole_epochs(docs, how):
+    """All documents, very long ones too: targets filled by hand, epochs, then documents in the order of their keys."""
+    from pyspark.sql import functions as F
+
+    weights, share = how.get("weights", (5, 2, 1)), how.get("share", 1.5)
+    key = mixing._key("doc_id", "text", mixing.quality_weight("text"), how.get("seed", 1))
+    rows = docs.select("doc_id", "source", mixing.n_words("text").alias("size"), key.alias("key")).collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.source] += r["size"]
+    names = sorted(sizes, key=lambda x: (x is None, x))
+    weight, rest = {x: weights[k % len(weights)] for k, x in enumerate(names)}, share * sum(sizes.values())
+    target, left = {}, list(names)
+    while left:
+        level = rest / sum(weight[x] for x in left)
+        full = [x for x in left if weight[x] * level >= 2 * sizes[x]]
+        if not full:
+            target |= {x: weight[x] * level for x in left}
+            break
+        target |= {x: 2.0 * sizes[x] for x in full}
+        rest -= sum(2 * sizes[x] for x in full)
+        left = [x for x in left if x not in full]
+    want = Counter()
+    for x in names:
+        epochs = int(target[x] // sizes[x]) if sizes[x] else 0
+        budget, before = target[x] - epochs * sizes[x], 0
+        for r in sorted((r for r in rows if r.source == x), key=lambda r: (r.key, order(r.doc_id))):
+            drawn = r["size"] > 0 and budget > 0 and before + r["size"] / 2 <= budget
+            before += r["size"]
+            want[r.doc_id, (epochs + drawn) * r["size"]] += 1
+    got = mixing.mix_report(docs, **how)
+    assert as_rows(got, "doc_id", "taken") == want
+    assert {(r.source_size, round(r.target, 6)) for r in got.collect()} == {(sizes[x], round(target[x], 6)) for x in names}
+    repeats = Counter({k[0]: 0 for k in want})
+    for (i, taken), n in want.items():
+        size = {r["size"] for r in rows if r.doc_id == i and r["size"]}
+        repeats[i] += n * taken // max(size) if size else 0
+    counts = {r.doc_id: r["n"] for r in mixing.mix(docs, **how).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {i: n for i, n in repeats.items() if n}
+
+
 def test_mix_meets_targets(docs, rows_of_docs):
     small = docs.filter("text IS NULL OR length(text) < 2000")
     report = mixing.mix_report(small).collect()
