@@ -11,7 +11,8 @@ a smaller id. Four passes over the texts, none of which compares documents with
    document has the same windows in another run, is found once per run, by its windows. This confirms the
    recurring passages, and of copies only one has its windows compared.
 3. The phrases that confirmed runs are anchored at are dealt into shards of at most about ``shard_phrases``. A shard's
-   leading words, with its runs, are compiled into an Aho-Corasick automaton in every task.
+   leading words, with its runs, are compiled into an Aho-Corasick automaton in every task. Words are spelled with three
+   letters of their hash, in texts and phrases alike, so that automata are small and texts short.
 4. All documents are streamed through the automaton of each shard, where they lie; where it finds a phrase, the runs
    there are compared with those of the shard. Nothing else says which documents hold a passage. Documents that lose
    something then meet their spans, and are cut.
@@ -49,6 +50,9 @@ TOLD = 200_000
 GATHERED = 20_000
 #: Words of a phrase that the automaton looks for.
 LEAD = 4
+#: Letters that spell a word, and words whose spelling a task remembers.
+LETTERS, KNOWN_SPELLINGS = 3, 100_000
+ALPHABET = "".join(map(chr, range(48, 112)))
 
 
 def anchors(word_hashes: np.ndarray, width: int, phrase: int) -> np.ndarray:
@@ -85,7 +89,7 @@ def repeated(
     width: int = 50,
     phrase: int = 25,
     filter_bits: int = 1 << 26,
-    shard_phrases: int = 100_000,
+    shard_phrases: int = 200_000,
 ) -> DataFrame:
     """Per document ``doc_id, n_words, kept_text, n_removed, kept_sha256``; kept words joined by one space."""
     spark = df.sparkSession
@@ -205,11 +209,26 @@ def _kept(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_text", "kept_sha256"])
 
 
-def _automaton(leads):
+class Spelling(dict):
+    """Words as ``LETTERS`` letters of an alphabet of 64, kept while they are few. What they confuse is compared later."""
+
+    def __missing__(self, word: bytes) -> str:
+        if len(self) >= KNOWN_SPELLINGS:
+            self.clear()
+        h = xxhash.xxh3_64_intdigest(word)
+        self[word] = spelled = "".join(ALPHABET[h >> 6 * k & 63] for k in range(LETTERS))
+        return spelled
+
+    def of(self, tokens: list[bytes]) -> str:
+        return "".join(map(self.__getitem__, tokens))
+
+
+def _automaton(leads: list[str]):
     """An automaton over phrases' leading words; nothing to find where there are none."""
-    automaton = ahocorasick.Automaton()
+    automaton, spelling = ahocorasick.Automaton(), Spelling()
     for lead in leads:
-        automaton.add_word(f" {lead} ", lead.count(" ") + 1)
+        tokens = words(lead)
+        automaton.add_word(spelling.of(tokens), len(tokens))
     if len(automaton):
         automaton.make_automaton()
     return automaton
@@ -223,13 +242,13 @@ def _stream(spark, shard: pd.DataFrame, width: int, phrase: int):
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         leads, run, owner, mask = shared.value
-        automaton, known = _automaton(leads), WordHashes()
+        automaton, spelling, known = _automaton(leads), Spelling(), WordHashes()
         order = np.argsort(run)
         listed = run[order], owner[order], mask[order]
         for b in batches:
             out = []
             for i, k, t in zip(b["id"].tolist(), b["k"].tolist(), b["text"], strict=True):
-                gone = _gone(words(t), i, automaton, listed, known, width, phrase)
+                gone = _gone(words(t), i, automaton, spelling, listed, known, width, phrase)
                 edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
                 out += [(i, k, s, e - s) for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
             yield pd.DataFrame(out, columns=["id", "k", "start", "n"])
@@ -238,22 +257,20 @@ def _stream(spark, shard: pd.DataFrame, width: int, phrase: int):
 
 
 def _gone(
-    tokens: list[bytes], doc: int, automaton, listed: tuple[np.ndarray, np.ndarray, np.ndarray], known: WordHashes, width: int, phrase: int
+    tokens: list[bytes], doc: int, automaton, spelling: Spelling, listed: tuple[np.ndarray, np.ndarray, np.ndarray], known: WordHashes,
+    width: int, phrase: int,
 ) -> np.ndarray:
     """Words covered by a window that a smaller document has, as far as the automaton's phrases tell."""
     n = len(tokens)
     gone = np.zeros(n, bool)
     if n < width or not len(automaton):
         return gone
-    text = f" {_spoken(tokens)} "
-    found = [(end, k) for end, k in automaton.iter(text)]
+    found = [(end + 1, k) for end, k in automaton.iter(spelling.of(tokens)) if (end + 1) % LETTERS == 0]
     if not found:
         return gone
-    # A lead ends with the blank after its last word; as many blanks lie before as there are words.
-    blanks = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
     near = np.zeros(n - width + 1, bool)
     for end, k in found:
-        at = int(np.searchsorted(blanks, end)) - k  # the phrase's first word; windows that hold the phrase start by then
+        at = end // LETTERS - k  # the phrase's first word; windows that hold the phrase start by then
         near[max(0, at + phrase - width) : at + 1] = True
     hashes = known.of(tokens)
     named = anchors(hashes, width, phrase)
