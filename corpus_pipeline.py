@@ -1,4 +1,12 @@
-"""The pipeline over ``documents``: five stages, each written as Parquet and read again by the next."""
+"""The pipeline over ``documents``: five stages, each written as Parquet and read again by the next.
+
+Defined cases, as the operators have them: null and empty texts fail the quality rules and go with the first stage; a
+stage that is given some keeps them, but for the mix, which takes documents with words only; very long texts are read
+whole; of repeated rows and copies the join keeps one; a null id is the last, and a null language or source is a group
+of its own; a document that the mix takes twice has two rows; ties are settled as the operators say, alike on every
+run over the same table; an empty table gives an empty result; other columns pass through, whatever their names, but
+that a column ``shard`` is replaced by the last stage.
+"""
 
 from __future__ import annotations
 
