@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 def test_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -43,6 +43,21 @@ def test_pipeline_runs_its_stages_in_turn(spark):
     assert got.filter("shard < 0 OR shard > 23 OR shard IS NULL").count() == 0
 
 
+def test_stages_take_odd_rows(spark, docs, tmp_path):
+    """Null, empty, repeated and very long rows, and columns with clashing names, one stage after the other."""
+    spark.createDataFrame([(1, "a question that no document holds at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    current = docs.selectExpr("*", "'x' AS `K1`", "1 AS number", "'y' AS kept")
+    for name, stage in corpus_pipeline.STAGES:
+        before = current.count()
+        got = stage(spark, current, str(tmp_path))
+        assert got.columns == [*current.columns, *(["shard"] if name == "kd_shards" else [])]
+        assert 0 < got.count() <= 2 * before
+        if name != "weighted_mix":
+            assert got.count() <= before
+        current = got
+    assert current.filter("text IS NULL OR length(text) = 0").count() == 0
+
+
 def test_stages_take_empty_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
