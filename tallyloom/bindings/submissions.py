@@ -123,19 +123,22 @@ def submission_index(spark, d, form=FORM):
 
 
 def resolved_submissions(spark, d, form=FORM):
-    """As the job does: resolved on the index; what several steps read is written once and read back."""
-    clean, index = submission_index(spark, d, form)
-    kept = stage(formula.resolve_submissions(index))
-    return clean, kept, stage(formula.decoded(formula.counted_submissions(clean["Screen-1"], clean["Screen-3"], kept, form)))
+    """As the job does: joined once, resolved on what decides; what several steps read is written once and read back."""
+    clean = formula.clean_screens(screens(spark, d))
+    joined = stage(formula.joined_submissions(clean["Screen-1"], clean["Screen-3"], form))
+    kept = stage(formula.resolve_submissions(formula.deciding_columns(joined)))
+    return clean, kept, stage(formula.decoded(formula.counted_submissions(joined, kept)))
 
 
-def subawards(spark, clean, resolved):
-    return formula.subaward_rows(clean["Screen-2"], categories(spark), resolved)
+def subawards(spark, d, resolved):
+    receipts = stage(formula.state_receipts(resolved))
+    cut = formula.clean_screens(screens(spark, d), kept={"Screen-2": receipts})
+    return formula.subaward_rows(cut["Screen-2"], categories(spark), receipts)
 
 
 def long_rows(spark, d):
     clean, _, resolved = resolved_submissions(spark, d)
-    return clean, resolved, formula.long_table(resolved, subawards(spark, clean, resolved), lookup(spark), FORM)
+    return clean, resolved, formula.long_table(resolved, stage(subawards(spark, d, resolved)), lookup(spark), FORM)
 
 
 def wide_rows(spark, d):
@@ -179,8 +182,8 @@ def states_service_outcome(spark, d):
       cult2 AS "CultSpec2" FROM awards""",
 )
 def states_subawards(spark, d):
-    clean, _, resolved = resolved_submissions(spark, d)
-    out = doubles(subawards(spark, clean, resolved), AMOUNT)
+    resolved = resolved_submissions(spark, d)[2]
+    out = doubles(subawards(spark, d, resolved), AMOUNT)
     return out.select("`Rpt-Receipt-Id`", "line", "part", "supp", NAME, TYPE_RAW, AMOUNT, "CultSpec2")
 
 
@@ -191,9 +194,9 @@ def states_long_format(spark, d):
 
 @query("states_v8_long_format", CLEAN + f"""SELECT {IDS}, demo AS "Demo", element AS "Element", v AS "Value" FROM elements""")
 def states_v8_long_format(spark, d):
-    clean, _, resolved = resolved_submissions(spark, d, FORM_V8)
+    resolved = resolved_submissions(spark, d, FORM_V8)[2]
     names = lookup(spark, "ANY COMMENTS, PLEASE?...50")
-    out = formula.long_table(resolved, subawards(spark, clean, resolved), names, FORM_V8)
+    out = formula.long_table(resolved, stage(subawards(spark, d, resolved)), names, FORM_V8)
     return out.drop("Clients", "In Use", "TypeService", "Outcomes")
 
 
@@ -205,7 +208,7 @@ def states_v8_long_format(spark, d):
 def states_long_history(spark, d):
     clean, _, long = long_rows(spark, d)
     columns = [*forms.OUT_IDS, "Element", "Value"]
-    long = long.select(*columns)
+    long = stage(long.select(*columns))
     history = long.withColumns({"Year": F.col("Year") - 3, "Value": F.lit("old")})
     return formula.merge_long_history(history, long, clean["Screen-1"])
 
@@ -275,7 +278,7 @@ def states_history_merged_programs(spark, d):
 )
 def states_history_last_by_position(spark, d):
     clean, _, resolved = resolved_submissions(spark, d)
-    long = formula.long_table(resolved, subawards(spark, clean, resolved), lookup(spark), FORM, ordered=True)
+    long = formula.long_table(resolved, stage(subawards(spark, d, resolved)), lookup(spark), FORM, ordered=True)
     out = formula.merge_long_history(None, long, clean["Screen-1"], by_program=False)
     return out.select("Grant Type", "State", "Year", "EIN", "Element", "Value")
 

@@ -27,25 +27,41 @@ from tallyloom.sources.tables import drop_periods, overwrite_periods
 NAME_ALIASES = ["GRANTEE NAME", "GRANTEE_NAME", "GRANTEENAME"]  # fixed values
 # What decides which submission counts.
 RESOLVING = ["CodeTxt", "Fy", "RptEin", "ProgAcronym", "RevSeqNumber", "SubmitDate", "GranteeTypeTxt", "PostalCode"]
-#: The submit date as it came, beside the parsed one.
-RAW_DATE = "__submitted"
+#: Number of a joined submission, by which the resolved ones are found again.
+NUMBER = "__submission"
 
 
 def clean_screens(
-    screens: Mapping[str, DataFrame], row_order: Sequence[str] = forms.ROW_ORDER, territories: bool = True
+    screens: Mapping[str, DataFrame],
+    row_order: Sequence[str] = forms.ROW_ORDER,
+    territories: bool = True,
+    kept: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Sentinels to null, one grantee name per id, trimmed text; territories count as states."""
+    """Sentinels to null, one grantee name per id, trimmed text; territories count as states.
+
+    ``kept`` holds ids for some screens, as they are once cleaned: rows without one go before names are looked up.
+    """
     out = {}
     for name, df in screens.items():
         if territories:
             df = hygiene.recode_columns(df, {"GranteeTypeTxt": {"Territory": "State"}})
         out[name] = hygiene.clean_strings(df, trim=False)
+        if kept and name in kept:
+            out[name] = _keep_cleaned(out[name], kept[name])
     named = rollup.canonicalise(
         {**out, "__cover": screens["Screen-1"]}, "RptEin", "GranteeName", "__cover", present(screens["Screen-1"].columns, row_order)
     )
     return {n: hygiene.clean_strings(named[n], sentinels=()) for n in screens}
 
 
+def _keep_cleaned(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose ids, once trimmed, are among ``ids``."""
+    keys = {c: f"__id{i}" for i, c in enumerate(ids.columns)}
+    texts = [k for c, k in keys.items() if dict(df.dtypes)[c] == "string"]
+    trimmed = hygiene.clean_strings(df.withColumns({k: col(c) for c, k in keys.items()}), sentinels=(), columns=texts)
+    return joins.keep_ids(trimmed, ids, [(k, c) for c, k in keys.items()]).drop(*keys.values())
+
+
 def submission_keys(cover: DataFrame, form: StateForm) -> list[str]:
     """Named keys, or the leading columns of the cover page."""
     return list(form.keys) or prefix_keys(cover, form.n_key_columns, ["Screen-Name", *form.row_order])
@@ -78,27 +94,29 @@ def submission_index(cover: DataFrame, metrics: DataFrame, form: StateForm) -> D
     """One narrow row per submission that has both screens: its keys and what decides which counts. No metric is read."""
     keys = submission_keys(cover, form)
     ids = joins.join_shared(cover.select(*cols(_identity(cover, keys))), metrics.select(*cols(_identity(metrics, keys))), keys)
-    return _dated(ids.withColumn(RAW_DATE, col("SubmitDate")))
+    return _dated(ids)
 
 
-def counted_submissions(cover: DataFrame, metrics: DataFrame, kept: DataFrame, form: StateForm) -> DataFrame:
-    """Wide rows of the resolved submissions only: both screens are cut to them before they are joined.
+def joined_submissions(cover: DataFrame, metrics: DataFrame, form: StateForm) -> DataFrame:
+    """Wide rows of the submissions that were not returned, numbered: each screen is read, named and moved once.
 
-    ``kept`` is the resolved index. Ties that were kept stay; the submissions are those that resolving the wide
-    rows would leave.
+    Numbers hold for what was written, so write the table before it is read.
     """
-    keys = submission_keys(cover, form)
-    raw = kept.withColumn("SubmitDate", col(RAW_DATE))
-    cut = []
-    for screen in (cover, metrics):
-        ids = _identity(screen, keys)
-        cut.append(joins.keep_ids(screen, raw.select(*cols(ids)).distinct(), ids))
-    wide = join_screens(*cut, form)
-    deciding = [set(_identity(screen, keys)) - set(keys) for screen in (cover, metrics)]
-    if all(deciding):  # each screen decides something, so that pairs of kept rows need not be kept
-        ids = _identity(kept, keys)
-        wide = joins.keep_ids(wide, kept.select(*cols(ids)).distinct(), ids)
-    return wide
+    valid = hygiene.exclude_values(cover, "CodeTxt", [forms.RETURNED])
+    if "CodeTxt" in submission_keys(cover, form):  # then metrics of returned submissions meet nothing
+        metrics = hygiene.exclude_values(metrics, "CodeTxt", [forms.RETURNED])
+    return join_screens(valid, metrics, form).withColumn(NUMBER, F.monotonically_increasing_id())
+
+
+def deciding_columns(joined: DataFrame) -> DataFrame:
+    """Number and what decides which submission counts; no metric is read."""
+    return joined.select(*cols([NUMBER, *present(joined.columns, [*RESOLVING, "EIN"])]))
+
+
+def counted_submissions(joined: DataFrame, kept: DataFrame) -> DataFrame:
+    """Wide rows of the resolved submissions only. ``kept``: the resolved deciding columns; ties that were kept stay."""
+    kind = col("GranteeTypeTxt")
+    return joins.keep_ids(joined.where((kind == "State") | (kind == "Tribe")), kept.select(NUMBER), [NUMBER]).drop(NUMBER)
 
 
 def resolve_submissions(wide: DataFrame) -> DataFrame:
@@ -138,15 +156,20 @@ def service_outcomes(resolved: DataFrame, crosswalk: DataFrame) -> DataFrame:
     return rename_columns(unpivot_families(resolved, forms.ID_COLUMNS, families, "Survey Type"), forms.ID_NAMES)
 
 
+def state_receipts(resolved: DataFrame) -> DataFrame:
+    """Ids of the resolved state submissions, which are few; written on their own, joins know how few."""
+    return resolved.where(col("GranteeTypeTxt") == "State").select(col("Rpt-Receipt-Id")).distinct()
+
+
 def subaward_rows(
-    screen: DataFrame, categories: DataFrame, resolved: DataFrame, row_order: Sequence[str] = forms.ROW_ORDER
+    screen: DataFrame, categories: DataFrame, receipts: DataFrame, row_order: Sequence[str] = forms.ROW_ORDER
 ) -> DataFrame:
     """Sub-awards of the resolved state submissions, with their population categories.
 
-    The semi-join comes first, so that dropped rows are neither decoded nor looked up.
+    The semi-join comes first, so that dropped rows are neither decoded nor looked up. Write the result before it is
+    filtered: a filter on a decoded column would pass below the semi-join and have every row decoded.
     """
-    kept_ids = resolved.where(col("GranteeTypeTxt") == "State").select(col("Rpt-Receipt-Id"))
-    kept = unescape_columns(joins.keep_ids(screen, kept_ids, ["Rpt-Receipt-Id"]))
+    kept = unescape_columns(joins.keep_ids(screen, receipts, ["Rpt-Receipt-Id"]))
     renamed = rename_columns(kept, forms.SUBAWARD_RENAMES)
     order = present(categories.columns, row_order)
     dim = resolve.distinct_on(categories, ["SubAwdCultSpecf"], order or [c for c in categories.columns if c != "SubAwdCultSpecf"])
@@ -286,16 +309,18 @@ def run(
 ) -> dict[str, str]:
     """The whole job: clean, resolve, derive, publish one version, update the history.
 
-    Submissions are resolved on a narrow index; metrics are read once, for those that count. The index and the
-    resolved submissions feed many tables, so each is written once and read back. ``history`` names a history under
+    Both screens are joined once, without what was returned, and resolved on the few columns that decide. What feeds
+    many tables is written once and read back. ``history`` names a history under
     ``root`` that is published as a version of its own; ``history_path`` is a plain folder by year, replaced in place.
     """
     clean = clean_screens(screens, form.row_order)
     cover, metrics = clean["Screen-1"], clean["Screen-3"]
-    index = stage_with(submission_index(cover, metrics, form))
-    kept = stage_with(resolve_submissions(index))
-    resolved = stage_with(decoded(counted_submissions(cover, metrics, kept, form)))
-    subawards = stage_with(subaward_rows(clean["Screen-2"], lookups["cultspec_subawardee"], resolved, form.row_order))
+    joined = stage_with(joined_submissions(cover, metrics, form))
+    kept = stage_with(resolve_submissions(deciding_columns(joined)))
+    resolved = stage_with(decoded(counted_submissions(joined, kept)))
+    receipts = stage_with(state_receipts(resolved))
+    awards = clean_screens(screens, form.row_order, kept={"Screen-2": receipts})["Screen-2"]
+    subawards = stage_with(subaward_rows(awards, lookups["cultspec_subawardee"], receipts, form.row_order))
     placed = stage_with(long_table(resolved, subawards, lookups["lookup"], form, ordered=True))
     long = placed.drop(COLUMN_IX, *form.row_order)
     xw = lookups["crosswalk"].where(
@@ -311,7 +336,7 @@ def run(
         "WideFormat": wide_table(long, xw, resolved, labels, form),
         "ReportingCounts": reporting_counts(reporting),
         "MissingStates": missing_states(reporting, roster),
-        "StatusCounts": status_counts(index),
+        "StatusCounts": status_counts(submission_index(cover, metrics, form)),
     }
     paths = publish(tables, root, "states_tribes", version, description)
     if history_path:
