@@ -409,10 +409,10 @@ def coalition_sections(spark, d, wanted, form=COALITION_FORM):
     clean = formula.clean_screens(raw, territories=False)
     keys = coalitions.section_keys(clean, CO_IDS, form)
     chosen = {s: clean[s] for s in ("Screen-1", *wanted)}
-    standard = coalitions.standardise(chosen, CO_IDS, names, form, stage) if wanted else (
-        coalitions.standardise(chosen, CO_IDS, names, form)
-    )
     expected = coalitions.expected_submissions(spark, form, STATES)
+    standard = coalitions.standardise(chosen, CO_IDS, names, form, stage, expected) if wanted else (
+        coalitions.standardise(chosen, CO_IDS, names, form, expected=expected)
+    )
     xw = coalition_crosswalk(spark)
     if "Screen-5" in wanted:
         return keys, coalitions.sections(standard, keys, xw, expected, names, form)

@@ -74,18 +74,20 @@ def complete_against(
     expected: DataFrame,
     on: Sequence[str | tuple[str, str]],
     flag: str = "Missing",
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Every expected combination with its rows, or one flagged row; unexpected rows drop out.
 
-    ``expected`` is unique on its keys. Found rows stream past the small grid; missing cells
+    ``expected`` is unique on its keys. ``seen`` may be given where another frame has the same keys as ``df`` at less
+    cost. Found rows stream past the small grid; missing cells
     come from an anti-join against the folded keys. An outer join would put all rows of a hot
     cell into one task.
     """
     pairs = key_pairs(on)
     left_keys, grid_keys = [l for l, _ in pairs], [r for _, r in pairs]
     found = null_safe_join(df, expected, pairs, "inner").withColumn(flag, F.lit(False))
-    seen = df.select(*cols(left_keys)).distinct()
-    absent = drop_ids(expected, seen, [(r, l) for l, r in pairs])
+    came = (df if seen is None else seen).select(*cols(left_keys)).distinct()
+    absent = drop_ids(expected, came, [(r, l) for l, r in pairs])
     renamed = absent.select(
         *[col(r).alias(l) for l, r in pairs], *cols(c for c in expected.columns if c not in grid_keys)
     ).withColumn(flag, F.lit(True))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.names import col, cols, names_like, present
@@ -44,6 +44,18 @@ def id_columns(cover: DataFrame, form: CoalitionForm, first: int = 1, last: int
     ]
 
 
+def _grid_values() -> dict[str, Column]:
+    """Program and year as the expected submissions have them."""
+    return {"Program Abbr": recode(col("Program Abbr"), forms.COALITION_PROGRAMS), "Year": col("Year").cast("string")}
+
+
+def _expected_rows(df: DataFrame, expected: DataFrame) -> DataFrame:
+    """Rows of expected submissions, columns as they are."""
+    marks = {c: f"__{i}" for i, c in enumerate(_grid_values())}
+    marked = df.withColumns({marks[c]: v for c, v in _grid_values().items()})
+    return joins.keep_ids(marked, expected, [(marks.get(g, g), g) for g in GRID]).drop(*marks.values())
+
+
 def _as_is(df: DataFrame) -> DataFrame:
     return df
 
@@ -54,16 +66,20 @@ def standardise(
     names: DataFrame,
     form: CoalitionForm,
     stage_with: Callable[[DataFrame], DataFrame] = _as_is,
+    expected: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """One submission per id on every screen, coalition names from the list, cover columns everywhere.
 
-    ``stage_with`` writes the screens; the cover page first, since every other screen reads it.
+    ``stage_with`` writes the screens; the cover page first, since every other screen reads it. With ``expected``,
+    rows that no section will hold go first, where the ids tell them.
     """
     out: dict[str, DataFrame] = {}
     for screen, raw in screens.items():
         df = rename_columns(raw.drop("EIN"), form.renames)
         if "SubmitDate" in df.columns and dict(df.dtypes)["SubmitDate"] == "string":
             df = df.withColumn("SubmitDate", parse_date(col("SubmitDate")))
+        if expected is not None and set(GRID) <= set(ids):
+            df = _expected_rows(df, expected)
         levels = [("RevSeqNumber", "max"), ("SubmitDate", "max"), ("Row-Iteration", "min")]
         df = resolve.resolve_hierarchy(df, list(ids), levels)
         df = joins.lookup_left(df, names, ["State"])
@@ -93,11 +109,12 @@ def section_table(
     if screen == ACTIVITIES:
         df = hygiene.null_values_like(df, ["Involvement"], ["none", "select"])
         df = cast_columns(df, names_like(df.columns, ["Trained"]), "double")
-    df = df.withColumns(
-        {"Program Abbr": recode(col("Program Abbr"), forms.COALITION_PROGRAMS), "Year": col("Year").cast("string")}
-    )
-    one = resolve.distinct_on(df, [k for k in keys if k in df.columns], present(df.columns, form.row_order))
-    found = coverage.complete_against(one.drop("CoalitionName"), expected, GRID)
+    df = df.withColumns(_grid_values())
+    own = [k for k in keys if k in df.columns]
+    one = resolve.distinct_on(df, own, present(df.columns, form.row_order))
+    # The rows themselves tell which submissions came, so that their first ones are looked for once.
+    seen = df if set(GRID) <= set(own) else None
+    found = coverage.complete_against(one.drop("CoalitionName"), expected, GRID, seen=seen)
     return joins.lookup_left(found, names, ["State"])
 
 
@@ -160,9 +177,9 @@ def run(
     """The whole job: clean, standardise, complete, reshape, publish one version."""
     ids = list(ids) if ids is not None else id_columns(screens[COVER], form)
     clean = clean_screens({s: screens[s] for s in forms.SECTIONS}, form.row_order, territories=False)
-    standard = standardise(clean, ids, names, form, stage_with)
-    keys = section_keys(clean, ids, form)
     expected = expected_submissions(names.sparkSession, form, states)
+    standard = standardise(clean, ids, names, form, stage_with, expected)
+    keys = section_keys(clean, ids, form)
     done = sections(standard, keys, crosswalk, expected, names, form, stage_with)
     long_ids = long_id_columns(keys)
     tables = {forms.SECTIONS[s]: df for s, df in done.items()}

@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.plans import formula, forms
+from tallyloom.operators import coverage
+from tallyloom.plans import coalitions, formula, forms
 from tallyloom.sources.staging import stage
+from tallyloom.sources.tables import literal_table
 
 OK, BACK = "Submitted", forms.RETURNED
 KEYS = ("Fy", "RptEin", "GranteeName", "GranteeTypeTxt", "PostalCode", "ProgAcronym", "CodeTxt", "RevSeqNumber", "SubmitDate", "Rpt-Receipt-Id")
@@ -60,3 +62,37 @@ def test_sub_awards_are_cut_before_names_are_looked_up(no_broadcast, rows):
     text = plan(out)
     assert text.index("LeftOuter") < text.index("LeftSemi")  # the semi-join lies below, so that it runs first
     assert out.columns == formula.clean_screens(screens)["Screen-2"].columns
+
+
+def test_sections_take_expected_rows_only_and_look_for_the_first_once(no_broadcast, rows):
+    spark = no_broadcast
+    form = forms.CoalitionForm("DunsId9", "DUNS", questions=1, pairs=(("2023", forms.CORE),))
+    screen = spark.createDataFrame(
+        [("AK", 2023, "SDVC", 7, 1, "a", 1), ("AK", 2023, "SDVC", 7, 2, "b", 2), ("AK", 2022, "SDVC", 7, 1, "c", 3), ("AK", 2023, "SDC6", 7, 1, "d", 4),
+         ("ZZ", 2023, "SDVC", 7, 1, "e", 5), (None, 2023, "SDVC", 7, 1, "f", 6), ("AK", 2023, None, 7, 1, "g", 7)],
+        "PostalCode string, Fy int, ProgAcronym string, RptEin int, RevSeqNumber int, v string, row_ix int")
+    ids = ["State", "Year", "Program Abbr", "EIN"]
+    names = literal_table(spark, {"State": "string", "CoalitionName": "string"}, [("AK", "Of AK"), ("AL", "Of AL")])
+    expected = coalitions.expected_submissions(spark, form, ["AK", "AL"])
+    raw = {coalitions.COVER: screen, "Screen-2": screen.select("PostalCode", "Fy", "ProgAcronym", "RptEin", "RevSeqNumber", "v", "row_ix")}
+    cut = coalitions.standardise(raw, ids, names, form, expected=expected)
+    whole = coalitions.standardise(raw, ids, names, form)
+    assert rows(cut["Screen-2"], "v") == [("b",)] and whole["Screen-2"].count() > 1
+    assert cut["Screen-2"].columns == whole["Screen-2"].columns
+
+    crosswalk = literal_table(spark, {"Meta Name Description": "string", "Label": "string"}, [("v", "V")])
+    table = coalitions.section_table(whole["Screen-2"], "Screen-2", ids, crosswalk, expected, names, form)
+    same = coalitions.section_table(cut["Screen-2"], "Screen-2", ids, crosswalk, expected, names, form)
+    want = [("AK", "2023", forms.CORE, "b", False, "Of AK"), ("AL", "2023", forms.CORE, None, True, "Of AL")]
+    columns = ["State", "Year", "`Program Abbr`", "V", "Missing", "CoalitionName"]
+    assert rows(table, *columns) == want == rows(same, *columns)
+    plain = spark.createDataFrame([("AK", "2023", forms.CORE, 7, "b", 1)], "State string, Year string, `Program Abbr` string, EIN int, v string, row_ix int")
+    assert plan(coalitions.section_table(plain, "Screen-2", ids, crosswalk, expected, names, form)).count(" Window [row_number") == 1
+
+
+def test_another_frame_may_tell_what_came(spark, rows):
+    expected = literal_table(spark, {"k": "int"}, [(1,), (2,), (3,)])
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (4, "c"), (None, "d")], "k int, v string")
+    want = rows(coverage.complete_against(df, expected, ["k"]))
+    assert rows(coverage.complete_against(df, expected, ["k"], seen=df.select("k").distinct())) == want
+    assert want == [(1, "a", False), (1, "b", False), (2, None, True), (3, None, True)]
