@@ -363,6 +363,7 @@ def store_history(long: DataFrame, cover: DataFrame, path: str, by_program: bool
     """
     fresh = merge_long_history(None, long, cover, by_program)
     years = cover.select(col("Fy").alias("Year")).distinct()
-    gone = joins.drop_ids(years, fresh.select("Year").distinct(), ["Year"])
+    # Merging keeps a row of every year, so that the long table tells them and is not merged twice.
+    gone = joins.drop_ids(years, long.select("Year").distinct(), ["Year"])
     overwrite_periods(fresh, path, "Year")
     drop_periods(long.sparkSession, path, "Year", [r.Year for r in gone.collect()])
