@@ -118,6 +118,17 @@ def test_phrase_dedup_in_several_shards(docs):
     assert as_rows(phrase_dedup.repeated(docs, shard_phrases=7), "doc_id", "n_words", "n_removed", "kept_sha256") == one
 
 
+def test_phrase_dedup_reads_no_more_for_more_shards(docs, monkeypatch):
+    """A stretch is streamed through one automaton: neither passes nor tables grow with the number of shards."""
+    staged = []
+    real = phrase_dedup.stage
+    monkeypatch.setattr(phrase_dedup, "stage", lambda df: staged.append(df) or real(df))
+    phrase_dedup.repeated(docs)
+    few = len(staged)
+    phrase_dedup.repeated(docs, shard_phrases=7)
+    assert len(staged) == 2 * few
+
+
 def test_automata_without_words_remove_nothing(docs, monkeypatch):
     from pyspark import cloudpickle
 
